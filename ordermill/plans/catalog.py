@@ -815,7 +815,7 @@ def idempotent_batch(t: Tables) -> DataFrame:
     batch = incremental.between_dates(orders, PURCHASED, *BATCH)
     for _ in range(2):
         stored = medallion.run_idempotent_batch(batch, PURCHASED, path)
-    return stored
+    return stored.withColumn("day", F.col("day").cast("string"))
 
 
 @query
