@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 
 def instant(value: str | datetime) -> Column:
-    """A zone-free timestamp literal; as a literal it is pushed down to Parquet."""
-    return F.lit(value).cast("timestamp_ntz")
+    """A zone-free timestamp literal; as a literal it is pushed down to Parquet.
+
+    It goes through text, since a Python datetime would pass through the zones
+    of the driver and of the session.
+    """
+    return F.lit(str(value)).cast("timestamp_ntz")
 
 
 def since(df: DataFrame, ts: str, start: str | datetime) -> DataFrame:

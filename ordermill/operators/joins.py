@@ -62,7 +62,7 @@ def salted_join(
     salts: int = 16,
     hot_share: float = 0.01,
 ) -> DataFrame:
-    """Inner or left join that splits the hot keys of ``left`` into ``salts`` parts.
+    """Inner or left shuffle join that splits the hot keys of ``left`` into ``salts`` parts.
 
     Only hot keys are salted and only their matches in ``right`` are copied; NULL
     keys match nothing and are spread as well.
@@ -82,4 +82,4 @@ def salted_join(
         .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
         .drop("_hot")
     )
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    return salted_left.join(salted_right.hint("merge"), [key, "_salt"], how).drop("_salt")

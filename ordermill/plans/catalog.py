@@ -107,7 +107,7 @@ def csv_scan_permissive(t: Tables) -> DataFrame:
     score = F.when(F.col("review_score") == 6, "n/a").otherwise(F.col("review_score").cast("string"))
     message = F.concat_ws("\n", "review_comment_message", F.col("review_comment_title"))
     write_csv(t.raw("order_reviews").withColumns({"review_score": score, "review_comment_message": message}), path)
-    return read_csv_permissive(t.spark, path, local_time_contract("order_reviews"))
+    return read_csv_permissive(t.spark, path, local_time_contract("order_reviews"), multi_line=True)
 
 
 @query
@@ -828,7 +828,7 @@ def stream_late_dedup(t: Tables) -> DataFrame:
     stream = streams.dedup_within(streams.parquet_stream(t.spark, inbox, events.schema), "event_id", "ts")
     out = t.scratch("events-out")
     streams.run_to_table(stream, out, t.scratch("events-checkpoint"))
-    return t.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return t.spark.read.parquet(out)
 
 
 @query

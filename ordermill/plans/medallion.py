@@ -19,31 +19,27 @@ from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_
 from ordermill.plans.validation import gold_expectations, raise_on_failure, validate_gold
 from ordermill.sources.ingest import bronze_ingest
 from ordermill.sources.marks import read_mark, write_mark
-from ordermill.sources.tables import write_table
+from ordermill.sources.tables import write_table, write_tables
 
 
 def build_silver(bronze: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    return {t: write_table(clean(bronze[t]), f"{root}/{t}") for t, clean in CLEANERS.items()}
+    return write_tables({t: clean(bronze[t]) for t, clean in CLEANERS.items()}, root)
 
 
 def build_gold(silver: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """The eight marts; customers read the stored order mart."""
     s = silver
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{root}/{name}")
-
-    gold = {"orders": store("orders", marts.gold_orders(s["orders"], s["order_items"], s["order_payments"]))}
-    gold["customers"] = store("customers", marts.gold_customers(s["customers"], gold["orders"]))
-    gold["products"] = store("products", marts.gold_products(s["products"], s["order_items"]))
-    gold["sellers"] = store("sellers", marts.gold_sellers(s["sellers"], s["order_items"]))
-    gold["category"] = store(
-        "category", marts.gold_category(s["order_items"], s["products"], s["category_translation"])
-    )
-    gold["reviews"] = store("reviews", marts.gold_reviews(s["order_reviews"]))
-    gold["payments"] = store("payments", marts.gold_payments(s["order_payments"]))
-    gold["geolocation"] = store("geolocation", marts.gold_geolocation(s["geolocation"]))
-    return gold
+    plans = {
+        "orders": marts.gold_orders(s["orders"], s["order_items"], s["order_payments"]),
+        "products": marts.gold_products(s["products"], s["order_items"]),
+        "sellers": marts.gold_sellers(s["sellers"], s["order_items"]),
+        "category": marts.gold_category(s["order_items"], s["products"], s["category_translation"]),
+        "reviews": marts.gold_reviews(s["order_reviews"]),
+        "payments": marts.gold_payments(s["order_payments"]),
+        "geolocation": marts.gold_geolocation(s["geolocation"]),
+    }
+    gold = write_tables(plans, root)
+    return gold | write_tables({"customers": marts.gold_customers(s["customers"], gold["orders"])}, root)
 
 
 def layer_row_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:

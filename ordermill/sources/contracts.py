@@ -43,6 +43,9 @@ _DDL = {
 
 SOURCE_TABLES = tuple(_DDL)
 
+# Tables with comment columns, whose values may contain line breaks.
+FREE_TEXT_TABLES = frozenset({"order_reviews"})
+
 
 def contract(table: str) -> StructType:
     """The declared schema of a source table."""

@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ordermill.sources.contracts import SOURCE_TABLES, contract
-from ordermill.sources.tables import read_csv_permissive, write_table
+from ordermill.sources.contracts import FREE_TEXT_TABLES, SOURCE_TABLES, contract
+from ordermill.sources.tables import read_csv_permissive, write_tables
 
 
 def bronze_ingest(
@@ -25,9 +25,10 @@ def bronze_ingest(
     missing = [t for t in SOURCE_TABLES if t not in raw_paths]
     if missing:
         raise ValueError(f"no raw path for: {missing}")
-    tables = {}
-    for table in SOURCE_TABLES:
-        schema = schemas[table] if schemas else contract(table)
-        rows = read_csv_permissive(spark, raw_paths[table], schema)
-        tables[table] = write_table(rows, f"{bronze_root}/{table}")
-    return tables
+    rows = {
+        table: read_csv_permissive(
+            spark, raw_paths[table], schemas[table] if schemas else contract(table), multi_line=table in FREE_TEXT_TABLES
+        )
+        for table in SOURCE_TABLES
+    }
+    return write_tables(rows, bronze_root)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def write_mark(spark: SparkSession, root: str, sequence: int, mark: datetime) -> None:
     """Store the mark of run ``sequence``; a repeated run rewrites its own row only."""
-    row = spark.range(1).select(F.lit(mark).cast("timestamp_ntz").alias("mark"))
+    row = spark.range(1).select(F.lit(str(mark)).cast("timestamp_ntz").alias("mark"))
     row.coalesce(1).write.mode("overwrite").parquet(f"{root}/run={sequence}")
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
@@ -37,17 +40,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return reader.csv(path)
 
 
-def read_csv_permissive(spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
+def read_csv_permissive(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, keep_corrupt: bool = False
+) -> DataFrame:
     """CSV where a cell that does not parse becomes NULL and the record survives.
 
-    Quoted line breaks stay inside their record.  ``multiLine`` gives up
-    splitting one file between tasks, so parallelism comes from the number of
-    files.  ``keep_corrupt`` adds the raw text of records that did not fit.
+    ``multi_line`` keeps quoted line breaks inside their record.  It also stops
+    Spark from splitting a file between tasks, so ask for it only on tables with
+    free text and store those as many files.  ``keep_corrupt`` adds the raw text
+    of records that did not fit.
     """
     reader = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
     )
@@ -86,6 +92,14 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     return df.sparkSession.read.parquet(path)
 
 
+def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write independent tables side by side, so one's last tasks do not idle the cluster."""
+    write = inheritable_thread_target(write_table)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        jobs = {name: pool.submit(write, df, f"{root}/{name}") for name, df in tables.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write once to shared scratch space and continue from the files."""
     return write_table(df, scratch_path(df.sparkSession, label))

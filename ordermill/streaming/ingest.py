@@ -29,10 +29,10 @@ def dedup_within(stream: DataFrame, key: str, ts: str, delay: str = "24 hours")
     State is one small entry per key seen within the delay.  A row more than
     ``delay`` behind the newest event time of earlier batches is dropped as late,
     whereas the batch lookback counts back from the stored mark.  Watermarks
-    need a zoned timestamp, so ``ts`` is cast.
+    need a zoned timestamp, so a cast copy of ``ts`` carries it.
     """
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key]).drop("_event_time")
 
 
 def run_to_table(stream: DataFrame, out: str, checkpoint: str) -> None:
