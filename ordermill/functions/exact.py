@@ -22,10 +22,17 @@ def cents(c: Column | str) -> Column:
     return F.rint(as_col(c) * 100).cast("bigint")
 
 
-def half_up_div(num: Column, den: Column) -> Column:
-    """``num / den`` as bigint, ties away from zero; NULL when ``den`` is 0."""
+def half_up_div(num: Column, den: Column, scale: int = 1) -> Column:
+    """``num * scale / den`` as bigint, ties away from zero; NULL when ``den`` is 0.
+
+    Quotient and remainder are scaled apart, so nothing larger than the result
+    or ``den * scale`` is ever formed.
+    """
     den = F.nullif(den, F.lit(0))
-    magnitude = F.call_function("div", F.abs(num) * 2 + den, den * 2)
+    size = F.abs(num)
+    rest = (size % den) * scale
+    magnitude = F.call_function("div", size, den) * scale + F.call_function("div", rest, den)
+    magnitude = magnitude + ((rest % den) * 2 >= den).cast("bigint")
     return F.when(num < 0, -magnitude).otherwise(magnitude)
 
 
@@ -47,7 +54,7 @@ def money_mean(c: Column | str) -> Column:
 def int_mean(c: Column | str, divisor: int = 1) -> Column:
     """Aggregate: mean of ``c / divisor`` rounded half-up to two decimals, ``c`` integral."""
     c = as_col(c)
-    return half_up_div(F.sum(c.cast("bigint")) * 100, F.count(c) * divisor) / F.lit(100.0)
+    return half_up_div(F.sum(c.cast("bigint")), F.count(c) * divisor, scale=100) / F.lit(100.0)
 
 
 def coordinate(c: Column | str) -> Column:

@@ -23,7 +23,7 @@ def since(df: DataFrame, ts: str, start: str | datetime) -> DataFrame:
 
 
 def after_mark(df: DataFrame, ts: str, mark: str | datetime) -> DataFrame:
-    """Rows strictly after the high-water mark."""
+    """Rows strictly after the high-water mark; ``lookback`` also sees late rows at or before it."""
     return df.filter(F.col(ts) > instant(mark))
 
 

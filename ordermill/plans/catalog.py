@@ -219,6 +219,12 @@ def customer_revenue(t: Tables) -> DataFrame:
     return marts.customer_revenue(t.enriched())
 
 
+@query
+def customer_revenue_stored(t: Tables) -> DataFrame:
+    """The revenue report written in four files and read back."""
+    return write_table(marts.customer_revenue(t.enriched()), t.scratch("customer-revenue"), files=4)
+
+
 @query
 def customer_spend_by_person(t: Tables) -> DataFrame:
     return marts.customer_spend_by_person(t.enriched())
@@ -724,25 +730,30 @@ def schema_diff(t: Tables) -> DataFrame:
 
 @query
 def schema_evolution_gate(t: Tables) -> DataFrame:
-    """Decision per incoming variant, with the rows of the table after it and the rows that would not cast."""
+    """Decision per incoming variant, the table's rows after it, and incoming values that would not cast."""
     current = t.silver("orders").select(*contract("orders").fieldNames())
     wider = current.withColumn("customer_email", F.concat("customer_id", F.lit("@example.org")))
-    retyped = current.withColumn("order_status", F.length("order_status"))
-    narrower = current.drop("order_status")
+    as_text = F.when(F.col("order_status") == "pending", "unknown").otherwise(F.col(PURCHASED).cast("string"))
     scenarios = [
         ("no_change", current, False),
         ("new_column_strict", wider, False),
         ("new_column_allowed", wider, True),
-        ("type_change", retyped, True),
-        ("missing_column", narrower, True),
+        ("type_change", current.withColumn(PURCHASED, as_text), True),
+        ("missing_column", current.drop("order_status"), True),
     ]
     results = []
     for name, incoming, allow_new in scenarios:
         reason = contracts.evolution_decision(current.schema, incoming.schema, allow_new)
-        table = current if reason else contracts.evolve(current, incoming, allow_new)
+        after = current if reason else contracts.evolve(current, incoming, allow_new)
+        lost = contracts.schema_diff(incoming, current.schema).filter(F.col("issue") == "uncastable")
+        sizes = after.agg(F.count("*").alias("rows_after"), F.lit(0).cast("bigint").alias("uncastable"))
+        both = sizes.unionByName(lost.select(F.lit(0).cast("bigint").alias("rows_after"), F.col("rows").alias("uncastable")))
         results.append(
-            table.agg(F.count("*").alias("rows_after")).select(
-                F.lit(name).alias("scenario"), F.lit(reason or "accepted").alias("decision"), "rows_after"
+            both.agg(F.sum("rows_after").alias("rows_after"), F.sum("uncastable").alias("uncastable_rows")).select(
+                F.lit(name).alias("scenario"),
+                F.lit(reason or "accepted").alias("decision"),
+                "rows_after",
+                "uncastable_rows",
             )
         )
     return quality.union_findings(results)

@@ -94,7 +94,10 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write independent tables side by side, so one's last tasks do not idle the cluster."""
-    write = inheritable_thread_target(write_table)
+    if not tables:
+        return {}
+    session = next(iter(tables.values())).sparkSession
+    write = inheritable_thread_target(session)(write_table)
     with ThreadPoolExecutor(max_workers=8) as pool:
         jobs = {name: pool.submit(write, df, f"{root}/{name}") for name, df in tables.items()}
         return {name: job.result() for name, job in jobs.items()}

@@ -66,7 +66,11 @@ def write_split_batch(batch: DataFrame, batch_id: int, valid_out: str, quarantin
 
 
 def run_order_ingest(stream: DataFrame, valid_out: str, quarantine_out: str, checkpoint: str) -> None:
-    """Ingest new order files: valid rows to one table, rejected rows to another."""
+    """Ingest new order files: valid rows to one table, rejected rows to another.
+
+    Batch numbers restart with a new checkpoint, so both tables belong to this
+    checkpoint alone.
+    """
     query = (
         stream.writeStream.foreachBatch(lambda df, i: write_split_batch(df, i, valid_out, quarantine_out))
         .option("checkpointLocation", checkpoint)

@@ -54,9 +54,16 @@ def test_valid_values_drop_negative_and_unknown(spark):
 @given(st.lists(st.tuples(st.integers(-(10**12), 10**12), st.integers(1, 10**6)), min_size=1, max_size=40))
 def test_half_up_div_is_exact(spark, pairs):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a bigint, b bigint")
-    got = [r["q"] for r in df.withColumn("q", exact.half_up_div(F.col("a"), F.col("b"))).orderBy("i").collect()]
-    want = [int((Decimal(a) / Decimal(b)).to_integral_value(ROUND_HALF_UP)) for a, b in pairs]
-    assert got == want
+    for scale in (1, 100):
+        quotient = exact.half_up_div(F.col("a"), F.col("b"), scale)
+        got = [r["q"] for r in df.withColumn("q", quotient).orderBy("i").collect()]
+        assert got == [int((Decimal(a) * scale / Decimal(b)).to_integral_value(ROUND_HALF_UP)) for a, b in pairs]
+
+
+def test_mean_of_sums_near_the_bigint_limit(spark):
+    df = spark.createDataFrame([(9 * 10**18 // 4,), (9 * 10**18 // 4,), (9 * 10**18 // 4 - 1,)], "v bigint")
+    half = exact.half_up_div(F.sum("v"), F.count("v"))
+    assert df.agg(half).first()[0] == 9 * 10**18 // 4
 
 
 def test_mean_rounds_ties_up_and_skips_nulls(spark):
