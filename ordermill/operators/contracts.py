@@ -111,14 +111,12 @@ def null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fail_on_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same rows; reading one with a NULL in these columns aborts the job.
+    """The same table, or an error when any row has a NULL in these columns.
 
-    The check is part of the plan, so the gate needs no pass of its own and a
-    failing write commits nothing.
+    Reads those columns once, over all rows: a check inside the later plan would
+    skip rows that plan filters out.
     """
-    checked = {
-        c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in required column {c}")).cast(df.schema[c].dataType))
-        .otherwise(F.col(c))
-        for c in columns
-    }
-    return df.withColumns(checked)
+    seen = null_rows(df, columns).first()
+    if not seen["passed"]:
+        raise ContractError(f"{seen['invalid_rows']} of {seen['rows']} rows have a NULL in {list(columns)}")
+    return df

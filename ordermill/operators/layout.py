@@ -17,12 +17,10 @@ def partition_profile(df: DataFrame) -> DataFrame:
 
 def layout_summary(df: DataFrame, layout: str) -> DataFrame:
     """Non-empty partitions, total rows and the largest partition of one layout."""
-    return partition_profile(df).agg(
-        F.first(F.lit(layout)).alias("layout"),
-        F.count("*").alias("partitions"),
-        F.sum("rows").alias("rows"),
-        F.max("rows").alias("largest"),
+    totals = partition_profile(df).agg(
+        F.count("*").alias("partitions"), F.sum("rows").alias("rows"), F.max("rows").alias("largest")
     )
+    return totals.select(F.lit(layout).alias("layout"), "*")
 
 
 def key_skew_profile(df: DataFrame, key: str, k: int = 10) -> DataFrame:

@@ -176,10 +176,10 @@ def row_count_check(actual: DataFrame, expected: DataFrame) -> DataFrame:
     sides = actual.select("table", F.col("rows").alias("n")).unionByName(
         expected.select("table", (-F.col("rows")).alias("n"))
     )
-    return sides.groupBy("table").agg(
-        F.first(F.lit("row_count")).alias("check"),
-        F.first(F.lit("*")).alias("column"),
-        F.abs(F.sum("n")).alias("failures"),
+    return (
+        sides.groupBy("table")
+        .agg(F.abs(F.sum("n")).alias("failures"))
+        .select("table", F.lit("row_count").alias("check"), F.lit("*").alias("column"), "failures")
     )
 
 

@@ -17,6 +17,7 @@ from ordermill.operators.clean import CLEANERS
 from ordermill.plans import medallion, validation
 from ordermill.sources.contracts import (
     CRITICAL_COLUMNS,
+    ORDER_STATUSES,
     SOURCE_TABLES,
     UNIQUE_KEYS,
     contract,
@@ -440,8 +441,6 @@ def domain_values(t: Tables) -> DataFrame:
 
 @query
 def domain_check(t: Tables) -> DataFrame:
-    from ordermill.sources.contracts import ORDER_STATUSES
-
     return quality.audit(t.silver("orders"), "orders", [quality.one_of("order_status", ORDER_STATUSES)])
 
 
