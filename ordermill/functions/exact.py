@@ -77,7 +77,8 @@ def coordinate_mean(total: Column, n: Column) -> Column:
 
 
 def round2(c: Column) -> Column:
-    return F.round(c, 2)
+    """``round(c, 2)``, without decimal arithmetic for values that have two decimals already."""
+    return F.when(F.rint(c * 100) / 100 == c, c).otherwise(F.round(c, 2))
 
 
 def mismatch(a: Column, b: Column) -> Column:

@@ -60,6 +60,26 @@ def test_half_up_div_is_exact(spark, pairs):
         assert got == [int((Decimal(a) * scale / Decimal(b)).to_integral_value(ROUND_HALF_UP)) for a, b in pairs]
 
 
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.integers(-(10**9), 10**9).map(lambda k: k / 100),
+            st.integers(-(10**9), 10**9).map(lambda k: k / 1000),
+            st.floats(-1e16, 1e16),
+            st.just(float("nan")),
+            st.none(),
+        ),
+        min_size=30,
+        max_size=60,
+    )
+)
+def test_round2_is_round(spark, numbers):
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    differs = ~exact.round2(F.col("v")).eqNullSafe(F.round("v", 2))
+    assert df.filter(differs).count() == 0
+
+
 def test_mean_of_sums_near_the_bigint_limit(spark):
     df = spark.createDataFrame([(9 * 10**18 // 4,), (9 * 10**18 // 4,), (9 * 10**18 // 4 - 1,)], "v bigint")
     half = exact.half_up_div(F.sum("v"), F.count("v"))
