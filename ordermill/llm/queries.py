@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, packing, quality_rules, token_counts, toxicity
+from ordermill.llm import language, packing, quality_rules, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -16,6 +16,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -54,6 +59,14 @@ def base_failed():
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    scaled = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    vectors = vectors.filter(F.coalesce(usable, F.lit(False))).select(F.col("vec_id").alias("id"), scaled.alias("vector"))
+    return topk.exact_top_k(vectors.filter("id % 50 = 0"), vectors, 5)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit_languages(docs.filter(trained_on("doc_id")))
@@ -62,14 +75,32 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_token_counts": op2_token_counts,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
+        "op7_exact_top_k": op7_exact_top_k,
         "op8_language_id": op8_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {}
+    return {"op7_exact_top_k": TOP_K}
+
+
+TOP_K = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
