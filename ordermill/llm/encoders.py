@@ -27,8 +27,19 @@ class Encoder:
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def many(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def apart(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units, one after the other, and how many each has.
+
+        Units are joined by a special string, which a tokenizer cuts out before
+        anything else, so each is encoded as if it stood alone.
+        """
+        mark = self.specials[-1]
+        split = self.tokenizer.token_to_id(mark)
+        joined = [mark.join(units[i : i + 1000]) for i in range(0, len(units), 1000)]
+        ids = [np.array([*e.ids, split], dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == split)
+        return ids[ids != split], np.diff(ends, prepend=-1) - 1
 
     def whole(self, texts: pa.Array) -> np.ndarray:
         """Which texts hold other white space or a special string, next to which cuts may matter."""
@@ -48,12 +59,19 @@ def load(path: str) -> Encoder:
 
 def unit_counts(encoder: Encoder, units: list[bytes]) -> np.ndarray:
     """The number of tokens of each unit."""
-    return np.array([len(x) for x in encoder.many([u.decode() for u in units])], dtype=np.int64)
-
-
-def unit_ids(encoder: Encoder, units: list[bytes]) -> list[np.ndarray]:
-    """The token ids of each unit."""
-    return [np.array(x, dtype=np.uint32) for x in encoder.many([u.decode() for u in units])]
+    return np.array([len(x) // 4 for x in unit_ids(encoder, units)], dtype=np.int64)
+
+
+def unit_ids(encoder: Encoder, units: list[bytes]) -> list[bytes]:
+    """The token ids of each unit as unsigned 32-bit little-endian numbers."""
+    texts = [u.decode() for u in units]
+    odd = {i for i, t in enumerate(texts) if any(s in t for s in encoder.specials)}
+    flat, sizes = encoder.apart([t for i, t in enumerate(texts) if i not in odd])
+    flat, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+    out = [flat[a:b] for a, b in zip([0, *ends], ends)]
+    for i in sorted(odd):
+        out.insert(i, np.array(encoder.ids(texts[i]), dtype="<u4").tobytes())
+    return out
 
 
 def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

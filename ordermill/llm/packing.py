@@ -135,9 +135,9 @@ def encoded(texts: pa.Array, encoder, cache: dict, end_id: int) -> tuple[np.ndar
     """The ids of all texts, each closed by ``end_id``, and where each text's begin."""
     data, start, first = byte_units(texts)
     code, distinct = buffers.numbered(buffers.binaries(data, np.concatenate((start, [len(data)]))))
-    known = through_cache(cache, distinct.to_pylist(), lambda some: unit_ids(encoder, some), most=150_000)
-    size = np.array([len(x) for x in known], dtype=np.int64)
-    pool = np.concatenate(known) if known else np.zeros(0, np.uint32)
+    known = through_cache(cache, distinct.to_pylist(), lambda some: unit_ids(encoder, some))
+    size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+    pool = np.frombuffer(b"".join(known), dtype="<u4")
     at = np.cumsum(size) - size
     sums = np.concatenate(([0], np.cumsum(size[code])))
     n = sums[first[1:]] - sums[first[:-1]]

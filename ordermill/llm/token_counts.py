@@ -76,7 +76,7 @@ def token_counts(
             n = np.zeros(len(distinct), dtype=np.int64)
             hit = at.is_valid().to_numpy(zero_copy_only=False)
             n[hit] = known[at.drop_null().to_numpy()]
-            n[~hit] = through_cache(cache, distinct.filter(pa.array(~hit)).to_pylist(), lambda some: unit_counts(encoder, some))
+            n[~hit] = through_cache(cache, distinct.filter(pa.array(~hit)).to_pylist(), lambda some: unit_counts(encoder, some).tolist())
             sums = np.concatenate(([0], np.cumsum(n[code])))
             tokens = sums[w.first[1:]] - sums[w.first[:-1]]
             for d in encoder.whole(texts):
@@ -88,15 +88,18 @@ def token_counts(
     return docs.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
 
-def through_cache(cache: dict, units: list, encode: Callable, most: int = 400_000) -> list:
+def through_cache(cache: dict, units: list, encode: Callable, most: int = 250_000) -> list:
     """What ``encode`` gives for each unit, asking it for units that the cache lacks.
 
-    A full cache starts anew; nothing but time depends on what it holds.
+    The cache has two generations of ``most`` units; when the young one is full
+    it becomes the old one.  Nothing but time depends on what it holds.
     """
-    missing = [u for u in units if u not in cache]
-    fresh = dict(zip(missing, encode(missing), strict=True)) if missing else {}
-    out = [fresh[u] if u in fresh else cache[u] for u in units]
-    if len(cache) + len(fresh) > most:
-        cache.clear()
-    cache.update(fresh)
+    young, old = cache.setdefault("young", {}), cache.get("old", {})
+    out = [old.get(u) if (x := young.get(u)) is None else x for u in units]
+    missing = [i for i, x in enumerate(out) if x is None]
+    for i, x in zip(missing, encode([units[i] for i in missing]), strict=True):
+        out[i] = x
+    young.update(zip(units, out, strict=True))
+    if len(young) > most:
+        cache["old"], cache["young"] = young, {}
     return out
