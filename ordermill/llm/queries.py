@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, packing, quality_rules, substrings, token_counts, topk, toxicity
+from ordermill.llm import language, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -73,6 +73,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out(), "lang_pred", "score")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_exact_top_k": op7_exact_top_k,
         "op8_language_id": op8_language_id,
+        "op9_near_dedup": op9_near_dedup,
     }
 
 
