@@ -61,9 +61,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
 
 def layout(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins; a null is an empty text."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return layout_bytes(pc.fill_null(texts, "").cast(pa.large_string()))
+
+
+def layout_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values (a large string or binary array without nulls) and where each begins."""
+    _, offsets, data = values.buffers()
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(offsets, dtype=np.int64)[values.offset : values.offset + len(values) + 1]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
+from ordermill.llm import language, lattice, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -35,6 +35,11 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 1024)
 
 
+def op4_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lattice.lattice_scores(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), held)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": op1_substring_dedup,
         "op2_token_counts": op2_token_counts,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_lattice_scores": op4_lattice_scores,
         "op5_toxicity": op5_toxicity,
         "op6_quality_rules": op6_quality_rules,
         "op7_exact_top_k": op7_exact_top_k,
