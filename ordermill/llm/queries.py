@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, lattice, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
+from ordermill.llm import language, lattice, mixing, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -82,6 +82,17 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), size=4, percent=80)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
+    labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(labels, "doc_id", "left_semi")
+    mixture = mixing.fit_mixture(docs, labelled)
+    rated = mixture.table.withColumn("rate", mixing.rate(mixture.steps, "membership"))
+    rated = rated.withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
+    names = F.array(*[F.lit(d) for d in mixture.model.domains]).cast("array<string>")
+    return rated.select("doc_id", "n_tokens", names.alias("domains"), "membership", "rate", "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -93,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_exact_top_k": op7_exact_top_k,
         "op8_language_id": op8_language_id,
         "op9_near_dedup": op9_near_dedup,
+        "op10_mixing": op10_mixing,
     }
 
 
