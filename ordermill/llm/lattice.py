@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from ordermill.llm import buffers
 from ordermill.llm.storage import stored
 
-#: One over the share of a word that is broadcast; words and entries worked on at once.
-FREQUENT, WORDS, ENTRIES = 1 << 15, 100_000, 2_000_000
+#: One over the share of a word that is broadcast; words worked on at once.
+FREQUENT, WORDS = 1 << 15, 100_000
 
 #: Added to the expected count of each piece.
 SMOOTH = 0.01
@@ -273,32 +273,24 @@ def lattice_scores(
     met = parts.filter("word is not null").select("chunk", "word", "places").join(valued.select("word", "n_train", "log"), "word").select("chunk", "places", "n_train", "log")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        entries = 0
-
-        def settle() -> pa.RecordBatch:
-            chunk, at, *values = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((at, chunk))
-            chunk, at = chunk[order], at[order]
-            first = np.flatnonzero(np.concatenate(([True], (chunk[1:] != chunk[:-1]) | (at[1:] != at[:-1]))))
-            known, base, log = (np.add.reduceat(v[order], first) for v in values)
-            return pa.RecordBatch.from_arrays([pa.array(chunk[first]), pa.array(at[first], pa.int32()), pa.array(known, pa.int64()), pa.array(base), pa.array(log)], names=["chunk", "at", "more_known", "more_base", "more_score"])
-
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            places = batch.column("places").cast(pa.large_binary())
-            flat, bounds = buffers.layout_bytes(places)
-            count = np.diff(bounds) // 4
-            n_train, log = (np.repeat(batch.column(c).to_numpy(), count) for c in ("n_train", "log"))
-            held.append((np.repeat(batch.column("chunk").to_numpy(), count), flat.view("<u4").astype(np.int32), (n_train > 0).astype(np.int64), np.log10(n_train + 1), log))
-            entries += len(log)
-            if entries > ENTRIES:
-                yield settle()
-                held, entries = [], 0
-        if entries:
-            yield settle()
-
-    sums = met.mapInArrow(add, "chunk long, at int, more_known long, more_base double, more_score double")
-    sums = sums.groupBy("chunk", "at").agg(*[F.sum(c).alias(c) for c in ("more_known", "more_base", "more_score")])
+            flat, bounds = buffers.layout_bytes(batch.column("places").cast(pa.large_binary()))
+            count, at = np.diff(bounds) // 4, flat.view("<u4").astype(np.int64)
+            chunk, n_train, log = (np.repeat(batch.column(c).to_numpy(), count) for c in ("chunk", "n_train", "log"))
+            for c in np.unique(chunk):
+                own = chunk == c
+                size = max(int(at[own].max()) + 1, held[c].shape[1] if c in held else 0)
+                sums = np.stack([np.bincount(at[own], weights=x[own], minlength=size) for x in (n_train > 0, np.log10(n_train + 1), log)])
+                if c in held:
+                    sums[:, : held[c].shape[1]] += held[c]
+                held[c] = sums
+        for c, (known, base, log) in held.items():
+            n = len(known)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, c)), pa.array(np.arange(n), pa.int32()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(log)], names=["chunk", "at", "more_known", "more_base", "more_score"])
+
+    # A chunk's rows meet in one task, which holds three numbers for each of its texts.
+    sums = met.repartition("chunk").mapInArrow(add, "chunk long, at int, more_known long, more_base double, more_score double")
     whole = parts.filter("at is not null").drop("word", "places").join(sums, ["chunk", "at"], "left")
     more = {c: F.coalesce(f"more_{c}", F.lit(0)) for c in ("known", "base", "score")}
     smoothed = float(np.log10(train_tokens + kinds + 1))
