@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at once.
-CHUNK = 8 << 20
+CHUNK = 5 << 20
 
 #: Bytes that separate words: space and tab to carriage return.
 SEPARATOR = np.zeros(256, dtype=bool)
@@ -56,6 +56,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             done = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(at, to - at)
+            pa.default_memory_pool().release_unused()
             at = to
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import buffers
 
 #: Words in a minimiser; packed bytes of a bucket, and of what is folded at once.
-MINIMISER, BUCKET, FOLD = 3, 6 << 20, 12 << 20
+MINIMISER, BUCKET, FOLD = 3, 6 << 20, 8 << 20
 
 #: The order key of a null id: before all others.
 NULL_ID = -(1 << 63)
@@ -157,6 +157,7 @@ def super_k_mers(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             data = np.frombuffer(distinct.buffers()[2], np.uint8)
             hashes = buffers.span_hashes(data, ends[:-1], ends[1:])[code]
             least = sliding_min(buffers.window_keys(hashes, MINIMISER), size - MINIMISER + 1)[starts]
+            del hashes, code, distinct, data
             owner = np.searchsorted(runs.words.first, starts, side="right") - 1
             at, n = stretches(starts, owner, first, least)
             bucket = (buffers.mixed(least[at]) % np.uint64(buckets)).astype(np.int64)
