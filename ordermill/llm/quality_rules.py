@@ -118,6 +118,8 @@ def spoken_lines(w: buffers.Words, offsets: np.ndarray) -> tuple[pa.Array, np.nd
     filled = offsets[:-1][np.diff(offsets) > 0]
     start = np.union1d(filled, feed + 1)
     start = start[start < len(w.data)]
+    if not len(start):
+        return pa.array([], pa.large_binary()), start
     end = np.append(start[1:], len(w.data))
     end -= (w.data[end - 1] == 10) & (end > start)
     spoken = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
