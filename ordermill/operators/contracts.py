@@ -57,7 +57,8 @@ def schema_diff(df: DataFrame, expected: StructType) -> DataFrame:
             rows.alias("rows"),
         )
 
-    rows = [finding(*issue, F.col("_rows")) for issue in schema_issues(expected, df.schema)]
+    structural = [finding(*issue, F.col("_rows")) for issue in schema_issues(expected, df.schema)]
+    rows = list(structural)
     rows += [
         finding(name, issue, kind, df.schema[name].dataType.simpleString(), F.col(f"m{i}"))
         for i, (name, issue, kind, _) in enumerate(measured)
@@ -65,7 +66,10 @@ def schema_diff(df: DataFrame, expected: StructType) -> DataFrame:
     if not rows:
         rows = [finding(None, "none", None, None, F.lit(0).cast("bigint"))]
         return totals.select(F.inline(F.array(*rows))).filter(F.lit(False))
-    return totals.select(F.inline(F.array(*rows))).filter(F.col("rows") > 0)
+    # A schema difference is one whether or not the table has rows.
+    found = totals.select(F.posexplode(F.array(*rows)).alias("_nth", "_finding"))
+    found = found.filter((F.col("_nth") < len(structural)) | (F.col("_finding.rows") > 0))
+    return found.select("_finding.*")
 
 
 def evolution_decision(expected: StructType, incoming: StructType, allow_new_columns: bool = False) -> str | None:

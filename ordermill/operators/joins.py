@@ -72,6 +72,8 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how}")
+    if not 0 < hot_share <= 1:
+        raise ValueError("hot_share must be above 0 and at most 1, as it bounds the broadcast list")
     hot = F.broadcast(hot_keys(left, key, hot_share).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -64,3 +64,11 @@ def test_gates(spark):
         c.fail_on_nulls(df, ["id"])
     good = df.filter(F.col("id").isNotNull())
     assert c.fail_on_nulls(good, ["id", "n"]) is good
+
+
+def test_schema_differences_of_an_empty_table_are_found(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    expected = StructType([StructField("id", LongType()), StructField("n", LongType())])
+    found = c.schema_diff(spark.createDataFrame([], "id long, extra long"), expected).collect()
+    assert len(found) == 2
