@@ -64,8 +64,13 @@ def trained_on(doc_id: str, modulus: int = 3, held_out: int = 1) -> Column:
 def labelled_sample(labelled: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
     """At most ``per_label`` rows of each label: those with the smallest hash of the key.
 
-    Spark keeps that many rows of each label in every task before it shuffles,
-    so a frequent label meets no single task whole.
+    Hashes lie evenly, so about four times the wanted rows of a label have one
+    below a bound that follows from its count.  Only these are shuffled and
+    sorted: a frequent label meets no task whole, at any size.
     """
+    # One row for each label, as the models have; the classes are what bounds it.
+    counts = F.broadcast(labelled.groupBy(label).agg(F.count("*").alias("_rows")))
+    place = F.xxhash64(key).cast("double") / 2.0**64 + 0.5
+    low = labelled.join(counts, label).filter(place * F.col("_rows") <= 4 * per_label).drop("_rows")
     spread = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
-    return labelled.withColumn("_nth", F.row_number().over(spread)).filter(F.col("_nth") <= per_label).drop("_nth")
+    return low.withColumn("_nth", F.row_number().over(spread)).filter(F.col("_nth") <= per_label).drop("_nth")

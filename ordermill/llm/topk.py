@@ -19,19 +19,25 @@ from pyspark.sql import functions as F
 #: Candidates and (on average) queries of a block, and dimensions added at a time.
 CANDIDATES, QUERIES, STEP = 4096, 512, 8
 
+#: Candidates (on average) that a task compares with a group of queries.
+PART = 1 << 16
+
 
 def vertical_blocks(vectors: DataFrame) -> DataFrame:
-    """``dim, ids, rows``: blocks of vectors of one length, stored dimension by dimension as 64-bit numbers."""
+    """``dim, ids, width, rows``: blocks of vectors of one length, stored dimension by dimension in ``width`` bytes a number."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
 
         def block(dim: int) -> pa.RecordBatch:
             ids, rows = held.pop(dim)
-            matrix = np.ascontiguousarray(np.stack(rows, axis=1))
+            matrix = np.stack(rows, axis=1)
+            low, high = matrix.min(initial=0), matrix.max(initial=0)
+            width = next(w for w in (2, 4, 8) if -(1 << 8 * w - 1) <= low and high < 1 << 8 * w - 1)
+            packed = matrix.astype(f"<i{width}").tobytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([np.array(ids, dtype=np.int64).tobytes()], pa.binary()), pa.array([matrix.tobytes()], pa.binary())],
-                names=["dim", "ids", "rows"],
+                [pa.array([dim], pa.int32()), pa.array([np.array(ids, dtype=np.int64).tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([packed], pa.binary())],
+                names=["dim", "ids", "width", "rows"],
             )
 
         for batch in batches:
@@ -46,7 +52,7 @@ def vertical_blocks(vectors: DataFrame) -> DataFrame:
         for dim in list(held):
             yield block(dim)
 
-    return vectors.mapInArrow(pack, "dim int, ids binary, rows binary")
+    return vectors.mapInArrow(pack, "dim int, ids binary, width int, rows binary")
 
 
 def search_block(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -90,15 +96,19 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     whole = F.col("id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())
     queries, candidates = (t.select("id", "vector").filter(whole) for t in (queries, candidates))
     asked = queries.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
-    sizes = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     schema = "query_id long, vec_id long, score long"
-    if not sizes:
+    # Queries and candidates are cut into shares and parts; each pair of the two is one piece of work of a bounded size.
+    shares = {r["dim"]: -(-r["n"] // QUERIES) for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    if not shares:
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    shares = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, -(-n // QUERIES))])
-    groups = asked.withColumn("share", F.pmod(F.xxhash64("id"), shares[F.col("dim")]))
+    sizes = candidates.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).filter(F.col("dim").isin(list(shares)))
+    parts = dict.fromkeys(shares, 1) | {r["dim"]: -(-r["n"] // PART) for r in sizes.collect()}
+    n_shares, n_parts = (F.create_map(*[F.lit(x) for pair in n.items() for x in pair])[F.col("dim")].cast("long") for n in (shares, parts))
+    groups = asked.withColumn("share", F.pmod(F.xxhash64("id"), n_shares))
     groups = groups.groupBy("dim", "share").agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
-    blocks = vertical_blocks(candidates).filter(F.col("dim").isin(list(sizes)))
-    blocks = blocks.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), (shares[F.col("dim")] - 1).cast("long"))))
+    groups = groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1)))
+    blocks = vertical_blocks(candidates).filter(F.col("dim").isin(list(shares))).withColumn("part", F.pmod(F.xxhash64("ids"), n_parts))
+    blocks = blocks.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), n_shares - 1)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +118,7 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
                 own = np.array([x["id"] for x in asking], dtype=np.int64)
                 vectors = np.array([x["vector"] for x in asking], dtype=np.int64).reshape(len(own), dim)
                 ids = np.frombuffer(batch.column("ids")[at].as_py(), np.int64)
-                rows = np.frombuffer(batch.column("rows")[at].as_py(), np.int64).reshape(dim, len(ids))
+                rows = np.frombuffer(batch.column("rows")[at].as_py(), f"<i{batch.column('width')[at].as_py()}").astype(np.int64).reshape(dim, len(ids))
                 found = list(search_block(vectors, own, rows, ids, k))
                 asker = np.concatenate([np.full(len(places), own[i]) for i, places, _ in found])
                 yield pa.RecordBatch.from_arrays(
@@ -116,7 +126,7 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
                     names=["query_id", "vec_id", "score"],
                 )
 
-    pairs = blocks.join(groups, ["dim", "share"]).select("dim", "ids", "rows", "queries")
+    pairs = blocks.join(groups, ["dim", "share", "part"]).select("dim", "ids", "width", "rows", "queries")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.mapInArrow(search, schema).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -12,7 +12,7 @@ from llm.conftest import EDGES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk
+from ordermill.llm import grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -92,12 +92,15 @@ def test_removed_words_equal_a_plain_search(spark, docs, table, fold, monkeypatc
     assert substrings.remove_repeats(table([])).count() == 0
 
 
-def test_top_k_equals_a_full_comparison(spark):
+@pytest.mark.parametrize("sizes", [(topk.CANDIDATES, topk.QUERIES, topk.PART), (16, 7, 40)])
+def test_top_k_equals_a_full_comparison(spark, sizes, monkeypatch):
+    for name, size in zip(("CANDIDATES", "QUERIES", "PART"), sizes, strict=True):
+        monkeypatch.setattr(topk, name, size)
     rng = np.random.default_rng(2)
-    rows = [(i, rng.integers(-9, 9, 20).tolist()) for i in range(300)] + [(7, [1] * 20), (None, [1] * 20), (900, None), (901, [1, None]), (902, [3])]
+    rows = [(i, rng.integers(-9, 9, 20).tolist()) for i in range(300)] + [(7, [1] * 20), (None, [1] * 20), (900, None), (901, [1, None]), (902, [3]), (910, []), (911, []), (920, [1 << 40]), (921, [-(1 << 20)])]
     table = spark.createDataFrame(rows, "id long, vector array<long>")
     got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.exact_top_k(table.filter("id % 10 = 0"), table, 5).collect()}
-    want, usable = set(), [(i, np.array(v)) for i, v in rows if i is not None and v and None not in v]
+    want, usable = set(), [(i, np.array(v)) for i, v in rows if i is not None and v is not None and None not in v]
     for q, x in usable:
         if q % 10 == 0:
             found = sorted((-int(x @ y), i) for i, y in usable if i != q and len(x) == len(y))[:5]
@@ -153,6 +156,14 @@ def test_quality_statistics_and_verdicts(spark, small, docs, table):
     assert quality_rules.judged(table([]))[0].count() == 0
 
 
+def test_samples_are_the_smallest_hashes_of_each_label(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 100 == 0, "rare").otherwise("common").alias("label"))
+    kept = sorted(r.id for r in grams.labelled_sample(rows, "label", "id", 300).collect())
+    held = rows.withColumn("hash", F.xxhash64("id")).orderBy("hash").collect()
+    by_label = {x: [r.id for r in held if r.label == x][:300] for x in ("rare", "common")}
+    assert kept == sorted(by_label["rare"] + by_label["common"])
+
+
 def test_held_out_languages_and_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     said = queries.op8_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
