@@ -1,6 +1,5 @@
 """DataFrame-to-DataFrame operators.
 
-They stay lazy, with three named exceptions that must measure before they go on:
-``joins.lookup_join`` (bounded size check), ``contracts.fail_on_nulls`` (gate) and
-``layout.compact_table``.
+They stay lazy, with two named exceptions that must measure before they go on:
+``contracts.fail_on_nulls`` (gate) and ``layout.compact_table``.
 """

@@ -7,37 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
+def lookup_join(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join to a dimension, without a hint.
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether a table is small enough to copy to every executor.
-
-    Runs a job, but a bounded one: it stops after ``max_rows + 1`` rows, and
-    within that bound the text bytes are added up exactly.
-    """
-    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
-    fixed = F.lit(16 * len(df.columns) + 16)
-    width = sum(text, fixed).cast("bigint")
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
-    return seen["n"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
-
-
-def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Left join to a dimension; broadcast it only when its measured size allows.
-
-    Beyond the bound the join shuffles both sides and adaptive execution splits
-    hot keys.
+    Spark broadcasts the dimension if its size, estimated or measured while the
+    job runs, is under the session's bound; beyond it the join shuffles both
+    sides and adaptive execution splits hot keys.
     """
-    if fits_broadcast(dimension, max_rows, max_bytes):
-        dimension = F.broadcast(dimension)
     return facts.join(dimension, key, "left")
 
 
@@ -46,11 +23,11 @@ def shuffle_join(left: DataFrame, right: DataFrame, key: str, how: str = "left")
     return left.join(right.hint("merge"), key, how)
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than ``share`` of the keyed rows; at most ``1 / share`` of them."""
+def hot_keys(df: DataFrame, key: str, share: float, rows_per_salt: int = 1_000_000) -> DataFrame:
+    """Keys holding more than ``share`` of the keyed rows (at most ``1 / share`` of them), and into how many parts each is cut."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") > total * share).select(key)
+    return counts.filter(F.col("n") > total * share).select(key, F.ceil(F.col("n") / rows_per_salt).alias("_salts"))
 
 
 def salted_join(
@@ -59,13 +36,13 @@ def salted_join(
     key: str,
     how: str,
     spread_by: Iterable[str],
-    salts: int = 16,
+    rows_per_salt: int = 1_000_000,
     hot_share: float = 0.01,
 ) -> DataFrame:
-    """Inner or left shuffle join that splits the hot keys of ``left`` into ``salts`` parts.
+    """Inner or left shuffle join that cuts each hot key of ``left`` into parts of about ``rows_per_salt`` rows.
 
-    Only hot keys are salted and only their matches in ``right`` are copied; NULL
-    keys match nothing and are spread as well.
+    Only hot keys are salted and only their matches in ``right`` are copied, once
+    for each part; NULL keys match nothing and are spread as well.
     The hot-key list has at most ``1 / hot_share`` rows, which bounds its
     broadcast.  The salt is a hash of ``spread_by`` (columns that vary within a
     key), so a retried task sends each row to the same place again.
@@ -74,14 +51,10 @@ def salted_join(
         raise ValueError(f"salted_join supports inner and left joins, not {how}")
     if not 0 < hot_share <= 1:
         raise ValueError("hot_share must be above 0 and at most 1, as it bounds the broadcast list")
-    hot = F.broadcast(hot_keys(left, key, hot_share).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    spread = F.coalesce("_hot", F.lit(False)) | F.col(key).isNull()
-    salted_left = left.join(hot, key, "left").withColumn("_salt", F.when(spread, salt).otherwise(0)).drop("_hot")
-    salted_right = (
-        right.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    hot = F.broadcast(hot_keys(left, key, hot_share, rows_per_salt))
+    spread, salts = F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1).cast("long"))
+    salt = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, salts))
+    salted_left = left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+    every = F.sequence(F.lit(0).cast("long"), salts - 1)
+    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted_left.join(salted_right.hint("merge"), [key, "_salt"], how).drop("_salt")

@@ -51,8 +51,16 @@ def file_layout(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
 
-def compact_table(spark: SparkSession, path: str, out: str, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """Rewrite a table of many small files into files near ``target_bytes`` each."""
+def compact_table(
+    spark: SparkSession, path: str, out: str, target_bytes: int = 256 * 1024 * 1024, partition_by: str | None = None
+) -> DataFrame:
+    """Rewrite a table of many small files into files near ``target_bytes`` each.
+
+    A table partitioned by ``partition_by`` stays so; ``rebalance`` gathers a
+    partition into few files and splits one too large for one task.
+    """
+    if partition_by is not None:
+        return write_table(spark.read.parquet(path).hint("rebalance", partition_by), out, partition_by=partition_by)
     seen = file_layout(spark, path).first()
     wanted = max(1, math.ceil((seen["bytes"] or 0) / target_bytes))
     return write_table(spark.read.parquet(path), out, files=wanted)

@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.exact import cents, mismatch, off_by_more_than, round2
+from ordermill.functions.exact import mismatch, off_by_more_than, round2
 from ordermill.functions.text import is_blank
 
 FINDINGS = "table string, check string, column string, failures bigint"
@@ -65,8 +65,8 @@ def total_is_sum(total: str, *parts: str) -> Rule:
 def average_is_ratio(average: str, total: str, count: str, tolerance: float = 0.01) -> Rule:
     """A stored average must be ``total / count``; rows with count 0 are not judged.
 
-    Compared in integer hundredths, so the tolerance itself is not lost to
-    floating point.
+    Compared as doubles; a billionth is added, so that a difference of just the
+    tolerance is not lost to floating point.
     """
     ratio = F.try_divide(F.col(total), F.col(count))
     return Rule(
@@ -141,12 +141,16 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum per metric, as typed columns."""
+    """Count, mean, standard deviation, minimum and maximum per metric, as typed columns.
+
+    Means come from sums of decimals with twelve places, whatever the scale of
+    the column.
+    """
     rows = [
         F.struct(
             F.lit(c).alias("column"),
             F.count(c).alias("count"),
-            F.round(F.sum(cents(c)) / F.count(c) / 100.0, 6).alias("mean"),
+            F.round(F.sum(F.col(c).cast("decimal(38,12)")).cast("double") / F.count(c), 6).alias("mean"),
             F.round(F.stddev_samp(F.col(c).cast("double")), 4).alias("stddev"),
             F.min(c).cast("double").alias("min"),
             F.max(c).cast("double").alias("max"),
@@ -190,9 +194,9 @@ def orphan_check(child: DataFrame, parent: DataFrame, key: str, relation: str, p
     """Child rows and keys without a parent; a NULL key has no parent.
 
     Children are counted per key before the anti join, so a hot key travels as
-    one row per task.
+    one row per task; parents may repeat a key and are made distinct alike.
     """
-    parents = parent.select(F.col(parent_key or key).alias(key))
+    parents = parent.select(F.col(parent_key or key).alias(key)).distinct()
     per_key = child.groupBy(key).agg(F.count("*").alias("_rows"))
     return (
         per_key.join(parents, key, "left_anti")

@@ -106,3 +106,8 @@ def test_failed_suite_raises(spark):
 def test_invalid_metric_counts_rows_once(spark):
     df = spark.createDataFrame([(-1, -1), (1, -1), (1, 1), (None, -1)], "a int, b int")
     assert failures(q.audit(df, "t", [q.any_invalid("bad", ["a", "b"])])) == {("bad", "a,b"): 3}
+
+
+def test_summary_keeps_small_decimals(spark):
+    df = spark.createDataFrame([(1.234567,), (1.238,)], "v double")
+    assert q.numeric_summary(df, ["v"]).first()["mean"] == 1.236284
