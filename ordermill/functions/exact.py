@@ -17,6 +17,11 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def finite(c: Column | str) -> Column:
+    """The value, or NULL where it is NaN or infinite, which no money or coordinate can be."""
+    return F.when(F.abs(as_col(c)) < float("inf"), as_col(c))
+
+
 def cents(c: Column | str) -> Column:
     """Integer hundredths of a value that carries at most two decimals."""
     return F.rint(as_col(c) * 100).cast("bigint")

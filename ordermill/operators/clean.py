@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.exact import round2
+from ordermill.functions.exact import finite, round2
 from ordermill.functions.text import keep_if, tidy, tidy_lower, tidy_upper
 
 
@@ -35,8 +35,9 @@ def clean_customers(raw: DataFrame) -> DataFrame:
 
 
 def clean_order_items(raw: DataFrame) -> DataFrame:
+    """Trim ids and round money; a NaN or infinite amount becomes NULL, which the audit counts."""
     ids = {c: tidy(c) for c in ("order_id", "product_id", "seller_id")}
-    return raw.withColumns({**ids, **{c: round2(F.col(c)) for c in ("price", "freight_value")}})
+    return raw.withColumns({**ids, **{c: round2(finite(c)) for c in ("price", "freight_value")}})
 
 
 def clean_order_payments(raw: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def clean_order_payments(raw: DataFrame) -> DataFrame:
             "order_id": tidy("order_id"),
             "payment_type": tidy_lower("payment_type"),
             "payment_installments": keep_if("payment_installments", F.col("payment_installments") > 0),
-            "payment_value": round2(F.col("payment_value")),
+            "payment_value": round2(finite("payment_value")),
         }
     )
 
@@ -83,8 +84,9 @@ def clean_order_reviews(raw: DataFrame) -> DataFrame:
 
 
 def clean_geolocation(raw: DataFrame) -> DataFrame:
+    degrees = {c: finite(c) for c in ("geolocation_lat", "geolocation_lng")}
     return raw.withColumns(
-        {"geolocation_city": tidy("geolocation_city"), "geolocation_state": tidy_upper("geolocation_state")}
+        {**degrees, "geolocation_city": tidy("geolocation_city"), "geolocation_state": tidy_upper("geolocation_state")}
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import contracts, incremental, joins, layout, marts, quality, values
@@ -23,7 +23,7 @@ from ordermill.sources.contracts import (
     contract,
     local_time_contract,
 )
-from ordermill.sources.ingest import bronze_ingest
+from ordermill.sources.ingest import bronze_ingest, rejected_records
 from ordermill.sources.marks import mark_history, write_mark
 from ordermill.sources.roles import Roles
 from ordermill.sources.tables import (
@@ -41,10 +41,40 @@ SINCE = "2001-06-01"
 MARK = datetime(2001, 7, 1)
 ARRIVED = "2001-07-15"
 BATCH = ("2001-07-01", "2001-07-08")
+EMPTIED = "2001-07-03"
 CORRECTED = "2001-01-01"
 
+# Spend that about half of the persons exceed.
+BIG_SPENDER = 1_000_000
+
 PURCHASED = "order_purchase_timestamp"
 
+SALES_METRICS = ("total_items_sold", "total_product_revenue", "total_freight_revenue", "average_item_price")
+PRODUCT_METRICS = ("total_orders", "unique_sellers", *SALES_METRICS)
+PERSON_METRICS = ("total_orders", "delivered_orders", "total_items", "total_spend", "average_order_value")
+
+# Key and audited metrics of each mart.
+MART_METRICS: dict[str, tuple[str | None, tuple[str, ...]]] = {
+    "orders": ("order_id", ("product_revenue", "freight_revenue", "total_order_value")),
+    "customers": ("customer_id", ("total_orders", "total_spent", "average_order_value", "total_items_purchased")),
+    "products": ("product_id", ("unique_orders", "unique_sellers", *SALES_METRICS)),
+    "sellers": ("seller_id", ("unique_orders", "unique_products", *SALES_METRICS)),
+    "category": (None, ("unique_orders", "unique_products", *SALES_METRICS)),
+    "reviews": ("order_id", ("review_count", "average_review_score", "average_response_hours")),
+    "payments": (
+        "order_id",
+        (
+            "payment_count",
+            "total_payment_value",
+            "average_payment_value",
+            "total_installments",
+            "max_installments",
+            "unique_payment_types",
+        ),
+    ),
+    "geolocation": ("geolocation_zip_code_prefix", ("average_latitude", "average_longitude")),
+}
+
 
 class Tables:
     """Lazy source tables, cleaned tables and marts of one test directory."""
@@ -124,13 +154,29 @@ def csv_scan_permissive(t: Tables) -> DataFrame:
 @query
 def bronze_ingest_profile(t: Tables) -> DataFrame:
     """All nine tables through CSV into typed Parquet, then rows and NULLs per column."""
-    root = t.scratch("bronze")
+    tables = _ingested({name: t.raw(name) for name in SOURCE_TABLES}, t.scratch("bronze"))
+    return quality.union_findings(quality.profile_table(df, name) for name, df in tables.items())
+
+
+def _ingested(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Raw tables written as CSV and ingested below ``root``."""
     raw_paths = {name: f"{root}/raw/{name}" for name in SOURCE_TABLES}
     for name, path in raw_paths.items():
-        write_csv(t.raw(name), path)
+        write_csv(raw[name], path)
     schemas = {name: local_time_contract(name) for name in SOURCE_TABLES}
-    tables = bronze_ingest(t.spark, raw_paths, f"{root}/bronze", schemas)
-    return quality.union_findings(quality.profile_table(df, name) for name, df in tables.items())
+    return bronze_ingest(raw["orders"].sparkSession, raw_paths, f"{root}/bronze", schemas)
+
+
+@query
+def bronze_rejects(t: Tables) -> DataFrame:
+    """Records per table that did not fit: reviews whose score is a word, products whose weight is."""
+    root = t.scratch("bronze-rejects")
+    raw = {name: t.raw(name) for name in SOURCE_TABLES}
+    for name, column, value in (("order_reviews", "review_score", 6), ("products", "product_weight_g", 10)):
+        words = F.when(F.col(column) == value, "n/a").otherwise(F.col(column).cast("string"))
+        raw[name] = raw[name].withColumn(column, words)
+    _ingested(raw, root)
+    return rejected_records(t.spark, f"{root}/bronze").groupBy("table").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -232,7 +278,7 @@ def customer_revenue(t: Tables) -> DataFrame:
 
 @query
 def customer_revenue_stored(t: Tables) -> DataFrame:
-    """The revenue report written in four files and read back."""
+    """The revenue report written and read back."""
     return write_table(marts.customer_revenue(t.enriched()), t.scratch("customer-revenue"))
 
 
@@ -243,7 +289,7 @@ def customer_spend_by_person(t: Tables) -> DataFrame:
 
 @query
 def delivered_big_spenders(t: Tables) -> DataFrame:
-    return marts.delivered_big_spenders(t.enriched(), over=1000)
+    return marts.delivered_big_spenders(t.enriched(), over=BIG_SPENDER)
 
 
 @query
@@ -271,7 +317,7 @@ def _order_values(t: Tables) -> DataFrame:
 
 @query
 def order_with_customer_location(t: Tables) -> DataFrame:
-    """Customers are broadcast when measured small enough."""
+    """Spark's size rule and adaptive execution choose the join."""
     return joins.lookup_join(_order_values(t), _location(t), "customer_id")
 
 
@@ -283,7 +329,8 @@ def order_with_customer_location_shuffled(t: Tables) -> DataFrame:
 
 @query
 def order_customer_inner(t: Tables) -> DataFrame:
-    return t.silver("orders").join(_location(t), "customer_id", "inner").select("order_id", "customer_id", "customer_city")
+    """Orders of the feed with their customer; those without a customer id fall out."""
+    return t.roles.orders_feed().join(_location(t), "customer_id", "inner").select("order_id", "customer_id", "customer_city")
 
 
 @query
@@ -306,6 +353,11 @@ def top_item_counts(t: Tables) -> DataFrame:
     return marts.top_groups(t.silver("order_items"), "order_id", k=10, count_name="item_count")
 
 
+@query
+def top_payment_counts(t: Tables) -> DataFrame:
+    return marts.top_groups(t.silver("order_payments"), "order_id", k=10, count_name="payment_count")
+
+
 @query
 def order_status_distribution(t: Tables) -> DataFrame:
     return marts.distribution(t.silver("orders"), "order_status")
@@ -376,16 +428,13 @@ def surplus_row_check(t: Tables) -> DataFrame:
 
 @query
 def row_count_check(t: Tables) -> DataFrame:
-    """What stale sales marts hold, which is sold entities only, against the entity tables."""
+    """Complete rows of all nine tables against the raw ones, and what stale sales marts hold against the entity tables."""
     items = t.stale_items()
-    sold = {
-        "products": items.select("product_id").distinct(),
-        "sellers": items.select("seller_id").distinct(),
-        "orders": items.select("order_id").distinct(),
-    }
-    return quality.row_count_check(
-        quality.row_counts(sold), quality.row_counts({n: t.silver(n) for n in ("products", "sellers", "orders")})
-    )
+    actual = {n: t.silver(n).dropna(subset=CRITICAL_COLUMNS[n]) for n in SOURCE_TABLES}
+    expected = {n: t.raw(n) for n in SOURCE_TABLES}
+    for name, key in (("products", "product_id"), ("sellers", "seller_id"), ("orders", "order_id")):
+        actual[f"sold_{name}"], expected[f"sold_{name}"] = items.select(key).distinct(), t.silver(name)
+    return quality.row_count_check(quality.row_counts(actual), quality.row_counts(expected))
 
 
 @query
@@ -473,12 +522,7 @@ def derived_total_check(t: Tables) -> DataFrame:
 
 @query
 def derived_average_check(t: Tables) -> DataFrame:
-    """Averages of the payment and person marts; the person's highest order is no average."""
-    persons = t.enriched().groupBy("customer_unique_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.round(F.sum("total_order_value"), 2).alias("total_spend"),
-        F.max("total_order_value").alias("highest_order_value"),
-    )
+    """Averages of the payment and person marts; the persons carry planted defects."""
     return quality.union_findings(
         [
             quality.audit(
@@ -487,7 +531,9 @@ def derived_average_check(t: Tables) -> DataFrame:
                 [quality.average_is_ratio("average_payment_value", "total_payment_value", "payment_count")],
             ),
             quality.audit(
-                persons, "persons", [quality.average_is_ratio("highest_order_value", "total_spend", "total_orders")]
+                _spoiled_persons(t),
+                "persons",
+                [quality.average_is_ratio("average_order_value", "total_spend", "total_orders")],
             ),
         ]
     )
@@ -577,27 +623,15 @@ def join_fanout_audit(t: Tables) -> DataFrame:
     )
 
 
-def _gold_plans(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "orders": t.gold_orders(),
-        "customers": gold_customers(t),
-        "products": gold_products(t),
-        "sellers": gold_sellers(t),
-        "category": gold_category(t),
-        "reviews": gold_reviews(t),
-        "payments": gold_payments(t),
-        "geolocation": gold_geolocation(t),
-    }
-
-
 @query
 def layer_row_counts(t: Tables) -> DataFrame:
+    """Rows of stored layers; the category names stand twice in silver, as after an append run twice."""
+    bronze = {n: t.raw(n) for n in SOURCE_TABLES}
+    silver = medallion.build_silver(bronze, t.scratch("silver"))
+    gold = medallion.build_gold(silver, t.scratch("gold"))
+    names = silver["category_translation"]
     counts = medallion.layer_row_counts(
-        {
-            "bronze": {n: t.raw(n) for n in SOURCE_TABLES},
-            "silver": {n: t.silver(n) for n in SOURCE_TABLES},
-            "gold": _gold_plans(t),
-        }
+        {"bronze": bronze, "silver": {**silver, "category_translation": names.unionByName(names)}, "gold": gold}
     )
     return medallion.layer_growth(counts)
 
@@ -636,14 +670,46 @@ def gold_validation_suite(t: Tables) -> DataFrame:
     return validation.validate_gold(gold, validation.gold_expectations(silver))
 
 
+def _spoiled(df: DataFrame, metrics: tuple[str, ...], key: str | None = None, **changed: Column) -> DataFrame:
+    """A mart with every row once more far below zero (and ``changed``), and once more without its key and one higher."""
+    out = df.unionByName(df.withColumns({**{m: F.lit(-1000) - F.col(m) for m in metrics}, **changed}))
+    if key is None:
+        return out
+    lost = {key: F.lit(None).cast(df.schema[key].dataType)}
+    return out.unionByName(df.withColumns({**{m: F.col(m) + 1 for m in metrics}, **lost}))
+
+
+@query
+def gold_validation_suite_defects(t: Tables) -> DataFrame:
+    """The suite over spoiled marts: each of the 59 checks fails."""
+    silver = {n: t.silver(n) for n in SOURCE_TABLES}
+    gold = medallion.build_gold(silver, t.scratch("gold"))
+    spoiled = {name: _spoiled(gold[name], metrics, key) for name, (key, metrics) in MART_METRICS.items()}
+    key, metrics = MART_METRICS["orders"]
+    strangers = F.concat("customer_id", F.lit("-unknown"))
+    spoiled["orders"] = _spoiled(gold["orders"], metrics, key, customer_id=strangers)
+    return validation.validate_gold(spoiled, validation.gold_expectations(silver))
+
+
+def _spoiled_persons(t: Tables) -> DataFrame:
+    persons = materialize(gold_customers_by_person(t), "persons")
+    early = F.col("first_order_date") - F.make_dt_interval(F.lit(1))
+    return _spoiled(persons, PERSON_METRICS, "customer_unique_id", last_order_date=early)
+
+
 @query
 def invalid_metric_check(t: Tables) -> DataFrame:
-    persons = gold_customers_by_person(t)
-    bad_delivered = F.col("delivered_orders").isNull() | (F.col("delivered_orders") >= F.col("total_orders"))
+    """Metrics of spoiled product and person marts that are missing, negative or contradict each other."""
+    products = materialize(gold_products_narrow(t), "products")
+
+    def missing_or_below(column: str, least: int) -> Column:
+        return F.col(column).isNull() | (F.col(column) < least)
+
+    bad_delivered = missing_or_below("delivered_orders", 0) | (F.col("delivered_orders") > F.col("total_orders"))
     return quality.union_findings(
         [
             quality.audit(
-                gold_products_narrow(t),
+                _spoiled(products, PRODUCT_METRICS),
                 "products",
                 [
                     quality.any_invalid("negative_revenue", ["total_product_revenue", "total_freight_revenue"]),
@@ -654,15 +720,16 @@ def invalid_metric_check(t: Tables) -> DataFrame:
                 ],
             ),
             quality.audit(
-                persons,
+                _spoiled_persons(t),
                 "persons",
                 [
+                    quality.Rule("invalid_total_orders", "total_orders", missing_or_below("total_orders", 1)),
+                    quality.Rule("invalid_delivered_orders", "delivered_orders", bad_delivered),
+                    quality.Rule("invalid_total_items", "total_items", missing_or_below("total_items", 0)),
+                    quality.Rule("invalid_total_spend", "total_spend", missing_or_below("total_spend", 0)),
                     quality.Rule(
-                        "invalid_total_orders",
-                        "total_orders",
-                        F.col("total_orders").isNull() | (F.col("total_orders") < 1),
+                        "invalid_average_order_value", "average_order_value", missing_or_below("average_order_value", 0)
                     ),
-                    quality.Rule("all_delivered", "delivered_orders", bad_delivered),
                     quality.Rule(
                         "invalid_order_dates",
                         "first_order_date",
@@ -684,9 +751,16 @@ def numeric_summary(t: Tables) -> DataFrame:
     )
 
 
+@query
+def customer_summary(t: Tables) -> DataFrame:
+    return quality.numeric_summary(gold_customers_by_person(t), PERSON_METRICS)
+
+
 @query
 def blank_id_check(t: Tables) -> DataFrame:
-    return quality.audit(t.roles.orders_feed(), "orders_feed", quality.not_blank("order_id", "customer_id", "order_status"))
+    """The feed's ids are NULL in part; customers of orders in processing are empty strings here."""
+    customer = F.when(F.col("order_status") == "processing", "").otherwise(F.col("customer_id"))
+    return quality.audit(t.roles.orders_feed().withColumn("customer_id", customer), "orders_feed", quality.not_blank("order_id", "customer_id", "order_status"))
 
 
 # -- quarantine and contracts -------------------------------------------------------
@@ -803,14 +877,22 @@ def lookback_window(t: Tables) -> DataFrame:
     return orders.select("order_id", "order_status", PURCHASED)
 
 
-def _replays(t: Tables) -> DataFrame:
-    """Everything in the lookback window once more, and a later correction of what was shipped."""
+def _in_lookback(t: Tables) -> DataFrame:
     orders = t.silver("orders").select("order_id", "customer_id", "order_status", PURCHASED)
-    again = incremental.lookback(orders, PURCHASED, MARK)
-    corrected = again.filter(F.col("order_status") == "shipped").withColumns(
+    return incremental.lookback(orders, PURCHASED, MARK)
+
+
+def _corrections(orders: DataFrame) -> DataFrame:
+    """What was shipped is delivered an hour later."""
+    return orders.filter(F.col("order_status") == "shipped").withColumns(
         {"order_status": F.lit("delivered"), PURCHASED: F.col(PURCHASED) + F.make_dt_interval(F.lit(0), F.lit(1))}
     )
-    return again.unionByName(corrected)
+
+
+def _replays(t: Tables) -> DataFrame:
+    """Everything in the lookback window once more, and a later correction of what was shipped."""
+    again = _in_lookback(t)
+    return again.unionByName(_corrections(again))
 
 
 @query
@@ -833,25 +915,34 @@ def latest_order_per_customer(t: Tables) -> DataFrame:
 @query
 def idempotent_batch(t: Tables) -> DataFrame:
     """The same batch written twice; the table holds it once."""
-    path = t.scratch("idempotent")
     orders = t.silver("orders").select("order_id", "customer_id", "order_status", PURCHASED)
-    batch = incremental.between_dates(orders, PURCHASED, *BATCH)
-    for _ in range(2):
-        stored = medallion.run_idempotent_batch(batch, PURCHASED, path)
-    return stored.withColumn("day", F.col("day").cast("string"))
+    return _batches(t, "idempotent", orders, orders)
+
+
+@query
+def idempotent_batch_emptied_day(t: Tables) -> DataFrame:
+    """A rerun whose source has lost a whole day; the table loses it too."""
+    orders = t.silver("orders").select("order_id", "customer_id", "order_status", PURCHASED)
+    return _batches(t, "emptied", orders, orders.filter(F.to_date(PURCHASED) != F.lit(EMPTIED).cast("date")))
+
+
+def _batches(t: Tables, label: str, *sources: DataFrame) -> DataFrame:
+    path = t.scratch(label)
+    for source in sources:
+        table = medallion.run_idempotent_batch(source, PURCHASED, path, *BATCH)
+    return table.withColumn("day", F.col("day").cast("string"))
 
 
 @query
 def stream_late_dedup(t: Tables) -> DataFrame:
-    """The event files with every purchase event replayed an hour late; each event once."""
-    inbox = t.scratch("events-in")
-    events = t.roles.table("events")
-    replays = events.filter(F.col("event_type") == "purchase")
-    write_table(events.unionByName(replays), inbox)
-    stream = streams.dedup_within(streams.parquet_stream(t.spark, inbox, events.schema), "event_id", "ts")
-    out = t.scratch("events-out")
-    streams.run_to_table(stream, out, t.scratch("events-checkpoint"))
-    return t.spark.read.parquet(out)
+    """The rows of ``late_dedup`` from a stream of three arrivals: corrections first, then the orders, then replays."""
+    inbox, versions, checkpoint = t.scratch("late-in"), t.scratch("late-versions"), t.scratch("late-checkpoint")
+    orders = _in_lookback(t)
+    for arrival in (_corrections(orders), orders, orders):
+        arrival.write.mode("append").parquet(inbox)
+        stream = streams.parquet_stream(t.spark, inbox, orders.schema)
+        streams.run_newest_versions(stream, "order_id", PURCHASED, versions, checkpoint)
+    return streams.newest_versions(t.spark, versions, "order_id", PURCHASED)
 
 
 @query

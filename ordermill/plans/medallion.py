@@ -7,6 +7,7 @@ twice and lost executors recompute one layer at most.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ordermill.operators import marts, quality
 from ordermill.operators.clean import CLEANERS
-from ordermill.operators.incremental import after_mark, next_mark
+from ordermill.operators.incremental import after_mark, between_dates, next_mark
 from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_rows
 from ordermill.plans.validation import gold_expectations, raise_on_failure, validate_gold
 from ordermill.sources.ingest import bronze_ingest
@@ -75,25 +76,29 @@ def run_medallion(
 
 
 def run_quarantine(feed: DataFrame, valid_path: str, quarantine_path: str) -> tuple[DataFrame, DataFrame]:
-    """Write the valid and the quarantined rows of a feed; flagged rows are kept only between the two writes."""
-    flagged = flag_orders(feed).persist()
-    try:
-        return (
-            write_table(valid_rows(flagged), valid_path),
-            write_table(quarantined_rows(flagged), quarantine_path),
-        )
-    finally:
-        flagged.unpersist()
+    """Write the valid and the quarantined rows of a feed, each in its own narrow pass over it."""
+    flagged = flag_orders(feed)
+    return write_table(valid_rows(flagged), valid_path), write_table(quarantined_rows(flagged), quarantine_path)
 
 
-def run_idempotent_batch(batch: DataFrame, ts: str, path: str) -> DataFrame:
-    """Replace the days a batch covers, and only those; a rerun changes nothing.
+def run_idempotent_batch(source: DataFrame, ts: str, path: str, start: str, end: str) -> DataFrame:
+    """Replace the days from ``start`` up to before ``end`` by the rows of ``source``, and only those days.
 
+    A rerun changes nothing, and a day that has lost its rows ends up empty:
+    overwriting partitions reaches only days with rows, so the others are
+    overwritten by themselves (a list no longer than the interval).
     ``rebalance`` gathers a day into few files and still splits a day too large
     for one task.
     """
-    by_day = batch.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
-    return write_table(by_day, path, partition_by="day")
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    by_day = between_dates(source, ts, start, end).withColumn("day", F.to_date(ts))
+    write_table(by_day.hint("rebalance", "day"), path, partition_by="day")
+    table = source.sparkSession.read.schema(by_day.schema).parquet(path)
+    stored = table.filter((F.col("day") >= F.lit(first)) & (F.col("day") < F.lit(last))).select("day").distinct()
+    emptied = stored.join(by_day.select("day").distinct(), "day", "left_anti").collect()
+    for row in emptied:
+        write_table(by_day.filter(F.lit(False)).drop("day"), f"{path}/day={row['day']}")
+    return source.sparkSession.read.schema(by_day.schema).parquet(path)
 
 
 def run_incremental(source: DataFrame, ts: str, marks: str, out: str) -> None:

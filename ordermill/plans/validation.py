@@ -23,7 +23,7 @@ def audit_silver(tables: Mapping[str, DataFrame]) -> DataFrame:
     """NULLs in critical columns, surplus rows per key and value ranges of all nine tables."""
     business = {
         "orders": q.not_negative("delivery_days"),
-        "order_items": q.not_negative("price", "freight_value"),
+        "order_items": q.not_null("price", "freight_value") + q.not_negative("price", "freight_value"),
         "order_payments": q.not_negative("payment_value"),
         "products": q.positive("product_weight_g"),
         "geolocation": [q.within("geolocation_lat", -90, 90), q.within("geolocation_lng", -180, 180)],

@@ -52,6 +52,11 @@ def contract(table: str) -> StructType:
     return StructType.fromDDL(_DDL[table])
 
 
+def columns(table: str) -> list[str]:
+    """The column names of a source table, without a session."""
+    return [column.split()[0] for column in _DDL[table].split(",")]
+
+
 def local_time_contract(table: str) -> StructType:
     """The same schema with zone-free timestamps, for sources that carry no zone."""
     return StructType.fromDDL(_DDL[table].replace("TIMESTAMP", "TIMESTAMP_NTZ"))

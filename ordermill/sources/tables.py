@@ -34,8 +34,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header row, under an explicit schema or an inferred one."""
-    reader = spark.read.option("header", True)
+    """CSV with a header row, under an explicit schema or an inferred one; a header that differs from the schema raises."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 
@@ -48,10 +48,11 @@ def read_csv_permissive(
     ``multi_line`` keeps quoted line breaks inside their record.  It also stops
     Spark from splitting a file between tasks, so ask for it only on tables with
     free text and store those as many files.  ``keep_corrupt`` adds the raw text
-    of records that did not fit.
+    of records that did not fit.  A header that differs from the schema raises.
     """
     reader = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("multiLine", multi_line)
         .option("quote", '"')
@@ -80,7 +81,8 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     """Overwrite a Parquet table and return it read back.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced, so
-    rerunning a batch leaves the table as one run did.  The row count of the
+    rerunning a batch leaves the table as one run did.  It is read under its own
+    schema, since without a row it has no file to take one from.  The row count of the
     result comes from Parquet footers, so callers count that, not the plan.
     """
     if files is not None:
@@ -89,7 +91,7 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     if partition_by is not None:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:

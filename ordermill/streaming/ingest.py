@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ordermill.operators.incremental import latest_per_key
 from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_rows
 
 
@@ -48,21 +49,39 @@ def run_to_table(stream: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def run_newest_versions(stream: DataFrame, key: str, ts: str, versions: str, checkpoint: str) -> None:
+    """Store each micro-batch's newest row per key under its batch number; a replayed batch replaces itself.
+
+    No row is late: a correction or a replay may arrive any time after or before
+    the row it belongs to.  ``newest_versions`` reads the table.
+    """
+    query = (
+        stream.writeStream.foreachBatch(
+            lambda df, i: latest_per_key(df, key, ts).write.mode("overwrite").parquet(f"{versions}/batch={i}")
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def newest_versions(spark: SparkSession, versions: str, key: str, ts: str) -> DataFrame:
+    """The newest row of each key over all batches, as the batch form of late deduplication gives it."""
+    return latest_per_key(spark.read.parquet(versions).drop("batch"), key, ts)
+
+
 def write_split_batch(batch: DataFrame, batch_id: int, valid_out: str, quarantine_out: str) -> None:
     """Split one micro-batch and overwrite its own partition in both tables.
 
     The partition is named by the batch id, so a replayed batch replaces what
-    its first attempt wrote.  The flagged rows feed two writes and are kept
-    between them only.
+    its first attempt wrote.  Each write reads the batch's files by itself.
     """
-    flagged = flag_orders(batch).persist()
-    try:
-        valid_rows(flagged).write.mode("overwrite").parquet(f"{valid_out}/batch={batch_id}")
-        quarantined_rows(flagged, at=F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{quarantine_out}/batch={batch_id}"
-        )
-    finally:
-        flagged.unpersist()
+    flagged = flag_orders(batch)
+    valid_rows(flagged).write.mode("overwrite").parquet(f"{valid_out}/batch={batch_id}")
+    quarantined_rows(flagged, at=F.current_timestamp()).write.mode("overwrite").parquet(
+        f"{quarantine_out}/batch={batch_id}"
+    )
 
 
 def run_order_ingest(stream: DataFrame, valid_out: str, quarantine_out: str, checkpoint: str) -> None:

@@ -36,10 +36,16 @@ def test_entry(spark):
 
 def test_audits_find_something(spark, small):
     """The derived defects make the rules fire, so agreement with the oracle means something."""
-    for name in ("negative_value_check", "date_order_check", "range_check", "recompute_seller_metrics"):
+    for name in ("negative_value_check", "date_order_check", "range_check", "recompute_seller_metrics", "row_count_check"):
         findings = contract.queries()[name](spark, small)
         assert findings.filter("failures > 0").count() > 0, name
 
 
+def test_every_check_of_the_suite_can_fail(spark, small):
+    found = contract.queries()["gold_validation_suite_defects"](spark, small).collect()
+    assert len(found) == 59 and [r for r in found if r["failures"] == 0] == []
+    assert contract.queries()["invalid_metric_check"](spark, small).filter("failures = 0").count() == 0
+
+
 def test_suite_has_59_checks(spark, small):
     assert contract.queries()["gold_validation_suite"](spark, small).count() == 59

@@ -94,8 +94,19 @@ def test_replays_change_nothing(feed):
 def test_batch_replaces_its_own_days_only(spark, tmp_path):
     path = str(tmp_path / "table")
     df = spark.createDataFrame([("a", dt(2020, 1, 1, 1), "1"), ("b", dt(2020, 1, 2, 1), "1"), ("c", dt(2020, 1, 2, 2), "1")], SCHEMA)
-    run_idempotent_batch(df, "ts", path)
-    run_idempotent_batch(df, "ts", path)
-    assert spark.read.parquet(path).count() == 3
-    run_idempotent_batch(df.filter("k = 'b'").withColumn("payload", F.lit("2")), "ts", path)
+    for _ in range(2):
+        assert run_idempotent_batch(df, "ts", path, "2020-01-01", "2020-01-03").count() == 3
+    second = df.filter("k = 'b'").withColumn("payload", F.lit("2"))
+    run_idempotent_batch(second, "ts", path, "2020-01-02", "2020-01-03")
     assert rows(spark.read.parquet(path).select("k", "payload"), "k") == [("a", "1"), ("b", "2")]
+
+
+def test_a_day_that_lost_its_rows_ends_up_empty(spark, tmp_path):
+    path = str(tmp_path / "table")
+    df = spark.createDataFrame([("a", dt(2020, 1, 1, 1), "1"), ("b", dt(2020, 1, 2, 1), "1"), ("c", dt(2020, 1, 3, 2), "1")], SCHEMA)
+    run_idempotent_batch(df, "ts", path, "2020-01-01", "2020-01-04")
+    left = run_idempotent_batch(df.filter("k = 'b'"), "ts", path, "2020-01-02", "2020-01-04")
+    assert [r["k"] for r in left.orderBy("k").collect()] == ["a", "b"]  # the first day lies outside the interval
+    gone = run_idempotent_batch(df.filter("false"), "ts", path, "2020-01-01", "2020-01-04")
+    assert gone.count() == 0 and gone.columns == ["k", "ts", "payload", "day"]
+    assert run_idempotent_batch(df.filter("false"), "ts", str(tmp_path / "new"), "2020-01-01", "2020-01-04").count() == 0

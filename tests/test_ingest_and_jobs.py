@@ -31,6 +31,31 @@ def test_free_text_stays_in_its_record(spark, tmp_path):
     assert split == 4  # without multi_line the first record breaks in two
 
 
+def test_columns_in_another_order_raise(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("seller_city,seller_id,seller_zip_code_prefix,seller_state\nNYC,s1,10001,NY\n")
+    schema = contracts.contract("sellers")
+    for read in (io.read_csv, io.read_csv_permissive):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, str(path), schema).collect()
+
+
+def test_amounts_that_are_no_numbers_become_null_findings(spark):
+    raw = spark.createDataFrame(
+        [("o", 1, "p", "s", None, float("nan"), 1.0), ("o", 2, "p", "s", None, 2.5, float("-inf"))],
+        contracts.contract("order_items"),
+        verifySchema=False,
+    )
+    clean = CLEANERS["order_items"](raw)
+    assert [(r["price"], r["freight_value"]) for r in clean.orderBy("order_item_id").collect()] == [(None, 1.0), (2.5, None)]
+    assert clean.agg(marts.money_sum("price")).first()[0] == 2.5
+
+
+def test_contract_columns_need_no_session():
+    for table in contracts.SOURCE_TABLES:
+        assert contracts.columns(table) == contracts.contract(table).fieldNames()
+
+
 def test_csv_round_trip_keeps_padding_and_quotes(spark, tmp_path):
     df = spark.createDataFrame([(' a "b", c\\ ', "x\ny", None), ("é", " ", "z")], "a string, b string, c string")
     io.write_csv(df, str(tmp_path / "csv"))
@@ -119,6 +144,21 @@ def test_job_audit_and_growth(layers, tables):
     assert growth.filter("bronze_rows <> silver_rows").count() == 0
 
 
+def test_rejected_records_stay_beside_bronze(spark, tables, tmp_path):
+    raw = {t: str(tmp_path / "raw" / t) for t in contracts.SOURCE_TABLES}
+    for table, path in raw.items():
+        io.write_csv(tables.raw(table).limit(5), path)
+    (tmp_path / "raw" / "sellers" / "part-bad.csv").write_text(
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9,none,Here,NY\n"
+    )
+    schemas = {t: contracts.local_time_contract(t) for t in contracts.SOURCE_TABLES}
+    bronze = ingest.bronze_ingest(spark, raw, str(tmp_path / "bronze"), schemas)
+    bad = bronze["sellers"].filter("seller_id = 's9'").first()
+    assert bad["seller_zip_code_prefix"] is None and bad["seller_city"] == "Here"
+    assert rows(ingest.rejected_records(spark, str(tmp_path / "bronze"))) == [("sellers", "s9,none,Here,NY")]
+    assert bronze["sellers"].columns == contracts.columns("sellers")
+
+
 def test_strict_job_raises(layers, spark, tmp_path):
     raw, schemas, _ = layers
     with pytest.raises(ValidationError, match="average_response_hours"):

@@ -39,6 +39,24 @@ def test_stream_equals_batch_inside_the_window(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "k") == rows(batch, "k")
 
 
+def test_corrections_of_any_age_replace_what_came_before(spark, tmp_path):
+    inbox, versions, checkpoint = (str(tmp_path / d) for d in ("in", "versions", "checkpoint"))
+    t0 = dt(2020, 1, 10)
+    arrivals = [
+        [("a", t0, "shipped"), ("b", t0 + timedelta(days=9), "new")],
+        [("a", t0 + timedelta(hours=1), "delivered"), ("c", t0 - timedelta(days=30), "late")],
+        [("a", t0, "shipped"), ("b", t0, "older")],
+    ]
+    schema = SCHEMA + ", state string"
+    everything = spark.createDataFrame([r for part in arrivals for r in part], schema)
+    for part in arrivals:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(inbox)
+        s.run_newest_versions(s.parquet_stream(spark, inbox, everything.schema), "k", "ts", versions, checkpoint)
+    got = rows(s.newest_versions(spark, versions, "k", "ts"), "k")
+    assert [(k, state) for k, _, state in got] == [("a", "delivered"), ("b", "new"), ("c", "late")]
+    assert got == rows(inc.latest_per_key(everything, "k", "ts"), "k")
+
+
 def test_order_ingest_matches_the_batch_split_and_survives_replay(spark, tables, tmp_path):
     feed = tables.roles.orders_feed()
     inbox, valid, rejected, checkpoint = (str(tmp_path / d) for d in ("in", "valid", "rejected", "checkpoint"))
