@@ -44,7 +44,7 @@ BATCH = ("2001-07-01", "2001-07-08")
 EMPTIED = "2001-07-03"
 CORRECTED = "2001-01-01"
 
-# Spend that about half of the persons exceed.
+# Spend that about three of four persons exceed.
 BIG_SPENDER = 1_000_000
 
 PURCHASED = "order_purchase_timestamp"
