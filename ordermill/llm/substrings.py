@@ -9,6 +9,10 @@ Each task first does the same over its own texts: a window that starts earlier
 in them is settled there, and only the first travels.  Buckets are folded piece
 by piece, keeping one place of each window, so a passage that a third of all
 documents share costs a bucket no more than a rare one.
+
+Different windows around one frequent minimiser do not fold.  The bytes of all
+buckets are measured first, and the windows of a bucket with too many are dealt
+by a hash of the whole window, which still brings equal ones together.
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ from ordermill.llm import buffers
 #: Words in a minimiser; packed bytes of a bucket, and of what is folded at once.
 MINIMISER, BUCKET, FOLD = 3, 6 << 20, 8 << 20
 
+#: Unpacked bytes of different windows from which a bucket is dealt by whole windows.
+HEAVY = 16 << 20
+
 #: The order key of a null id: before all others.
 NULL_ID = -(1 << 63)
 
@@ -142,8 +149,58 @@ def row_batch(bucket, blob, size, found: list[np.ndarray] | None) -> pa.RecordBa
 _ROW = "bucket int, blob binary, size long, doc long, variant long, low long, high long"
 
 
-def super_k_mers(docs: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Packed strings by bucket, and the spans that a task finds by itself; ``docs`` has doc, variant, text."""
+def least_keys(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The minimiser of each window that begins at ``starts``; ``hashes`` are those of the words."""
+    return sliding_min(buffers.window_keys(hashes, MINIMISER), size - MINIMISER + 1)[starts]
+
+
+def heavy_buckets(docs: DataFrame, size: int, buckets: int, total: int) -> tuple[np.ndarray, int]:
+    """Buckets with more than ``HEAVY`` bytes, and the bytes of their windows when each is packed alone.
+
+    Windows that a chunk of text repeats count once, as only one travels.  A
+    chunk is silent on buckets with less than its share of a quarter of
+    ``HEAVY``, so what is silent adds up to a quarter at most and the rest is
+    compared with three quarters.  ``total`` is the bytes of all texts.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in buffers.slices(batches):
+            w = buffers.words(batch.column("text"))
+            starts = buffers.inside(w.first, size)
+            if not len(starts):
+                continue
+            silent = HEAVY / 4 * pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() / max(total, 1)
+            hashes = buffers.span_hashes(w.data, w.start, w.end)
+            bucket = (buffers.mixed(least_keys(hashes, starts, size)) % np.uint64(buckets)).astype(np.int64)
+            owner = np.searchsorted(w.first, starts, side="right") - 1
+            bounds = np.concatenate(([0], np.cumsum(w.end - w.start + 1)))
+
+            def sizes(chosen: np.ndarray) -> np.ndarray:
+                at, n = stretches(starts, owner, chosen, bucket)
+                return np.bincount(bucket[at], weights=32 + bounds[starts[at] + n + size - 1] - bounds[starts[at]], minlength=buckets)
+
+            loud = sizes(np.ones(len(starts), dtype=bool)) > silent
+            maybe = np.flatnonzero(loud[bucket])
+            if not len(maybe):
+                continue
+            _, once = np.unique(buffers.window_keys(hashes, size)[starts[maybe]], return_index=True)
+            chosen = np.zeros(len(starts), dtype=bool)
+            chosen[maybe[once]] = True
+            packed_size = sizes(chosen)
+            alone = np.bincount(bucket[chosen], weights=32 + bounds[starts[chosen] + size] - bounds[starts[chosen]], minlength=buckets)
+            told = np.flatnonzero(packed_size > silent)
+            yield pa.RecordBatch.from_arrays([pa.array(told, pa.int32()), pa.array(packed_size[told].astype(np.int64)), pa.array(alone[told].astype(np.int64))], names=["bucket", "size", "alone"])
+
+    sums = docs.select("text").mapInArrow(measure, "bucket int, size long, alone long").groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("alone").alias("alone"))
+    found = sums.filter(F.col("size") > HEAVY * 3 // 4).collect()
+    return np.array(sorted(r["bucket"] for r in found), dtype=np.int64), sum(r["alone"] for r in found)
+
+
+def super_k_mers(docs: DataFrame, size: int, buckets: int, heavy: np.ndarray, extra: int) -> DataFrame:
+    """Packed strings by bucket, and the spans that a task finds by itself; ``docs`` has doc, variant, text.
+
+    Windows of the buckets in ``heavy`` go to one of ``extra`` more buckets, by all their words.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in buffers.slices(batches):
@@ -156,11 +213,15 @@ def super_k_mers(docs: DataFrame, size: int, buckets: int) -> DataFrame:
             ends = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
             data = np.frombuffer(distinct.buffers()[2], np.uint8)
             hashes = buffers.span_hashes(data, ends[:-1], ends[1:])[code]
-            least = sliding_min(buffers.window_keys(hashes, MINIMISER), size - MINIMISER + 1)[starts]
+            bucket = (buffers.mixed(least_keys(hashes, starts, size)) % np.uint64(buckets)).astype(np.int64)
+            if len(heavy):
+                split_up = np.flatnonzero(np.isin(bucket, heavy))
+                whole = buffers.window_keys(hashes, size)[starts[split_up]]
+                bucket[split_up] = buckets + (buffers.mixed(whole) % np.uint64(extra)).astype(np.int64)
             del hashes, code, distinct, data
             owner = np.searchsorted(runs.words.first, starts, side="right") - 1
-            at, n = stretches(starts, owner, first, least)
-            bucket = (buffers.mixed(least[at]) % np.uint64(buckets)).astype(np.int64)
+            at, n = stretches(starts, owner, first, bucket)
+            bucket = bucket[at]
             by = np.argsort(bucket, kind="stable")
             at, n, bucket = at[by], n[by] + size - 1, bucket[by]
             text, bounds = spaced_words(runs.words)
@@ -235,7 +296,10 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // (64 << 20)))
     buckets = max(8 * parts, -(-expected // BUCKET))
     sources = docs.select(key.alias("doc"), variant.alias("variant"), F.col(text).alias("text"))
-    rows = super_k_mers(sources, size, buckets).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    heavy, alone = heavy_buckets(sources, size, buckets, int(total))
+    extra = max(1, -(-4 * alone // (3 * BUCKET)))
+    parts += -(-alone // (64 << 20))
+    rows = super_k_mers(sources, size, buckets, heavy, extra).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = later_spans(rows, size).groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     names = docs.columns
     keyed = docs.select("*", key.alias("__doc"), variant.alias("__variant"))

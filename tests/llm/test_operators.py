@@ -7,12 +7,13 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.conftest import EDGES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk
+from ordermill.llm import buffers, grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -92,6 +93,29 @@ def test_removed_words_equal_a_plain_search(spark, docs, table, fold, monkeypatc
     assert substrings.remove_repeats(table([])).count() == 0
 
 
+def test_different_windows_around_one_minimiser_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET", 20_000)
+    monkeypatch.setattr(substrings, "HEAVY", 20_000)
+    # Of 200 trigrams the one with the least hash, between words that no other row has.
+    word = [f"k{i}" for i in range(600)]
+    packed_words = buffers.words(pa.array([" ".join(word)]))
+    keys = buffers.window_keys(buffers.span_hashes(packed_words.data, packed_words.start, packed_words.end), 3)
+    low = int(np.argmin(keys))
+    texts = [" ".join([*(f"a{i}x{j}" for j in range(9)), *word[low : low + 3], *(f"b{i}x{j}" for j in range(9))]) for i in range(2000)]
+    texts += texts[:5] + [" ".join(f"c{i}x{j}" for j in range(21)) for i in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sent = []
+
+    def spy(rows, *args, f=substrings.later_spans):
+        sent.extend(rows.filter("blob is not null").groupBy("bucket").agg(F.sum("size").alias("size")).collect())
+        return f(rows, *args)
+
+    monkeypatch.setattr(substrings, "later_spans", spy)
+    got = {r.doc_id: (r._n_removed, r._n_words) for r in substrings.remove_repeats(docs).collect()}
+    assert all(n == (words if 2000 <= i < 2005 else 0) for i, (n, words) in got.items()) and len(got) == len(texts)
+    assert max(r["size"] for r in sent) < 3 * 20_000 < sum(r["size"] for r in sent) / 4
+
+
 @pytest.mark.parametrize("sizes", [(topk.CANDIDATES, topk.QUERIES, topk.PART), (16, 7, 40)])
 def test_top_k_equals_a_full_comparison(spark, sizes, monkeypatch):
     for name, size in zip(("CANDIDATES", "QUERIES", "PART"), sizes, strict=True):
