@@ -74,3 +74,12 @@ def labelled_sample(labelled: DataFrame, label: str, key: str, per_label: int) -
     low = labelled.join(counts, label).filter(place * F.col("_rows") <= 4 * per_label).drop("_rows")
     spread = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
     return low.withColumn("_nth", F.row_number().over(spread)).filter(F.col("_nth") <= per_label).drop("_nth")
+
+
+def one_text(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each of ``keys``: of its texts the one with the smallest hash, and of these the smallest.
+
+    Tasks settle this for their own rows first, so a key with many rows meets no task whole.
+    """
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text")))
+    return rows.groupBy(*keys).agg(least.alias("_least")).select(*keys, F.col("_least.text").alias("text"))

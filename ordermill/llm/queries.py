@@ -43,7 +43,7 @@ def op4_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit_toxicity(docs, labels.filter(trained_on("doc_id")))
+    model = toxicity.fit_toxicity(docs.filter(trained_on("doc_id")), labels.filter(trained_on("doc_id")))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -13,7 +13,7 @@ from llm.conftest import EDGES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import buffers, grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk
+from ordermill.llm import buffers, grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -197,6 +197,28 @@ def test_held_out_languages_and_toxicity(spark):
     assert np.mean([r.predicted for r in scored if r.toxic == 1]) > 0.4
 
 
+def test_weak_grams_count_and_ratios_come_from_all_rows(spark):
+    # Toxic texts draw on many words; the one strongest gram alone cannot tell them, nor can the sample's ratios.
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = ["".join(rng.choice(letters, 7)) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(word[:200] if i % 2 else word[200:], 12))) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit_toxicity(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic").filter("doc_id < 600"), per_label=100, keep=1)
+    counted = np.unique(toxicity.text_sets(pa.array([t for i, t in rows if i < 600]))[1])
+    assert (model.weight[counted] != 0).mean() > 0.95
+    scored = toxicity.score(docs.filter("doc_id >= 600"), model).collect()
+    assert np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 1) for r in scored]) > 0.95
+
+
+def test_a_repeated_row_teaches_toxicity_once(spark):
+    rows = [(1, "bad words here")] * 50 + [(2, "other bad things"), (3, "nice day today"), (4, "good day all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id < 3 as int) as toxic")
+    once, repeated = (toxicity.fit_toxicity(x, labels) for x in (docs.distinct(), docs))
+    assert np.array_equal(once.weight, repeated.weight) and once.intercept == repeated.intercept
+
+
 def test_lattice_sums_all_segmentations():
     pieces = [b" ", b" a", b"a", b"b", b"ab", b"ba"]
     weight = np.array([1.0, 2, 3, 4, 5, 6])
