@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import buffers
-from ordermill.llm.grams import grams, labelled_sample
+from ordermill.llm.grams import grams, labelled_sample, one_text
 
 SIZES, BITS = (1, 2, 3), 12
 
@@ -88,7 +88,8 @@ def pairwise(x: np.ndarray, names: np.ndarray) -> list[Machine]:
 def fit_languages(docs: DataFrame, per_language: int = 300, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Train on at most ``per_language`` texts of each language that rows of ``docs`` name.
 
-    Rows with a null language, id or text are left out.  The chosen ids are few
+    Rows with a null language, id or text are left out, and rows that share
+    language and id give one text.  The chosen ids are few
     enough to be broadcast, and the chosen texts' vectors to be fitted on the
     driver: 16 kB each, read in compressed batches.
     """
@@ -102,7 +103,8 @@ def fit_languages(docs: DataFrame, per_language: int = 300, doc_id: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(packed, pa.binary())], names=["doc_id", "lang", "vector"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text").mapInArrow(embed, f"doc_id {kind}, lang string, vector binary").collect()
+    texts = one_text(usable.join(F.broadcast(chosen), ["doc_id", "lang"]), "doc_id", "lang")
+    found = texts.mapInArrow(embed, f"doc_id {kind}, lang string, vector binary").collect()
     found.sort(key=lambda r: (r["lang"], r["doc_id"], r["vector"]))
     if not found:
         return Model({}, [], {})

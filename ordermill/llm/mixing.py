@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import buffers
-from ordermill.llm.grams import labelled_sample
+from ordermill.llm.grams import labelled_sample, one_text
 from ordermill.llm.language import BITS, vectors
 from ordermill.llm.storage import stored
 
@@ -36,7 +36,8 @@ class Classifier(NamedTuple):
 def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc_id: str = "doc_id", text: str = "text") -> Classifier:
     """Train on the texts of ``labelled`` (``doc_id, domain``), at most ``per_domain`` of each domain.
 
-    Rows with a null id or domain, and ids without a text, are left out.  The
+    Rows with a null id or domain, and ids without a text, are left out, and rows
+    that share id and domain give one text.  The
     chosen ids are few enough to be broadcast, and their vectors to be collected.
     """
     known = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()).distinct()
@@ -48,7 +49,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc
             packed = [pa.compress(v.astype("<f2").tobytes(), codec="zstd", asbytes=True) for v in vectors(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array(packed, pa.binary())], names=["domain", "vector"])
 
-    found = texts.join(F.broadcast(chosen), "doc_id").select("domain", "text").mapInArrow(embed, "domain string, vector binary").collect()
+    sample = one_text(texts.join(F.broadcast(chosen), "doc_id"), "doc_id", "domain").select("domain", "text")
+    found = sample.mapInArrow(embed, "domain string, vector binary").collect()
     found.sort(key=lambda r: (r["domain"], r["vector"]))
     domains = sorted({r["domain"] for r in found})
     if not found:

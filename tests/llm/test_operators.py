@@ -13,7 +13,7 @@ from llm.conftest import EDGES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import buffers, grams, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk, toxicity
+from ordermill.llm import buffers, grams, language, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -219,6 +219,18 @@ def test_a_repeated_row_teaches_toxicity_once(spark):
     assert np.array_equal(once.weight, repeated.weight) and once.intercept == repeated.intercept
 
 
+def test_a_repeated_row_teaches_languages_and_domains_once(spark, docs):
+    rows = docs.filter("text is not null").orderBy("doc_id").limit(12).selectExpr("doc_id", "text", "if(doc_id % 2 = 0, 'en', 'de') as lang").localCheckpoint()
+    first = rows.agg(F.min("doc_id")).first()[0]
+    more = rows.unionByName(rows.filter(F.col("doc_id") == first).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("n"))
+    domains = rows.selectExpr("doc_id", "lang as domain")
+    a, b = (mixing.fit_domains(x, domains) for x in (rows, more))
+    assert np.array_equal(a.weight, b.weight) and np.array_equal(a.bias, b.bias)
+    x, y = (language.fit_languages(x) for x in (rows, more))
+    for m, n in zip([*x.between, *x.within["germanic"]], [*y.between, *y.within["germanic"]], strict=True):
+        assert np.array_equal(m.weight, n.weight) and m.bias == n.bias
+
+
 def test_lattice_sums_all_segmentations():
     pieces = [b" ", b" a", b"a", b"b", b"ab", b"ba"]
     weight = np.array([1.0, 2, 3, 4, 5, 6])
