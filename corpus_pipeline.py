@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import mixing, near_dedup, quality_rules, queries as operators, substrings
@@ -24,9 +24,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near copies, once; rows without an id stay."""
-    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keep the smallest id of each group of near copies; rows without an id stay.
+
+    Rows are judged by their text.  Of rows with the same id and words, the first
+    in the order of their texts and then of all other columns stays.
+    """
+    kept = near_dedup.judged(docs).filter("kept and doc_id is not null").select("doc_id", F.col("digest").alias("__digest")).distinct()
+    rows = near_dedup.with_digest(docs.filter("doc_id is not null"), "__digest").join(kept, ["doc_id", "__digest"], "left_semi")
+    order = Window.partitionBy("doc_id", "__digest").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    one = rows.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").select(*docs.columns)
     return one.unionByName(docs.filter("doc_id is null"))
 
 

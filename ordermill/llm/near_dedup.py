@@ -282,6 +282,18 @@ def similar_links(table: pa.Table, lower: float, percent: int) -> list[tuple[np.
     return out
 
 
+def with_digest(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, and the digest of the words of the text."""
+    names = docs.columns
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in buffers.slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests(batch.column(text))], names=[*names, into])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(apply, f"{kinds}, `{into}` binary")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
 
@@ -296,26 +308,42 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     Shingles stand as 64-bit hashes.  A pair at the threshold shares no band with
     a chance of 3e-6, and more similar ones with less.
     """
+    return judged(docs, size, percent, doc_id, text).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``near_duplicates`` says, and the ``digest`` of the words each row was judged by.
+
+    A class of equal words goes through the search under a 64-bit hash of its
+    digest, as an id may have several texts.  Of texts that share the smallest
+    id of a component, the one with the smallest digest is kept.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     table = stored(described(rows, size), "signatures")
     linkable = table.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     first = linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     classes = linkable.join(first, ["digest", "doc_id"], "left_semi")
-    clusters = stored(candidate_clusters(classes, percent / 100), "clusters").withColumnRenamed("component", "cluster").withColumnRenamed("node", "doc_id")
+    number = F.xxhash64("digest")
+    nodes = classes.select(number.alias("doc_id"), "n_shingles", "bands", "sketch")
+    clusters = stored(candidate_clusters(nodes, percent / 100), "clusters").withColumnRenamed("component", "cluster")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in buffers.slices(batches):
             batch = batch.filter(pa.compute.equal(batch.column("digest"), digests(batch.column("text"))))
             bounds, keys = shingles(batch.column("text"), size)
             packed = buffers.binaries(keys.view(np.uint8), bounds * 8).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("cluster"), batch.column("sketch"), packed], names=["doc_id", "cluster", "sketch", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("cluster"), batch.column("sketch"), packed], names=["doc_id", "cluster", "sketch", "keys"])
 
-    wanted = classes.select("doc_id", "sketch", "digest").join(clusters, "doc_id")
+    wanted = classes.select("doc_id", "sketch", "digest", number.alias("node")).join(clusters, "node")
     members = rows.join(wanted, "doc_id")
     members = members.mapInArrow(sets, "doc_id long, cluster long, sketch binary, keys binary")
     found = components(confirmed_links(stored(members, "shingle-sets"), percent))
-    named = first.join(found, F.col("doc_id") == F.col("node"), "left").select("digest", F.coalesce("component", "doc_id").alias("component"))
+    named = first.withColumn("node", number).join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    named = named.select("digest", "group", F.struct("doc_id", "digest").alias("own"))
+    least = named.groupBy("group").agg(F.min("own").alias("least"))
+    named = named.join(least, "group").select("digest", F.col("least.doc_id").alias("component"), F.col("least.digest").alias("chosen"))
     out = table.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     lone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(lone, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    kept = lone | ((F.col("doc_id") == F.col("component")) & (F.col("digest") == F.col("chosen")))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "digest")

@@ -283,6 +283,18 @@ def test_pipeline_stages_return_documents(spark, small):
             n = docs.count()
 
 
+def test_near_copies_are_dropped_by_their_text(spark, small):
+    import corpus_pipeline
+
+    x, y, z = (" ".join(f"{k}{i}" for i in range(40)) for k in "xyz")
+    rows = [(1, x), (5, f"{x} more"), (5, y), (6, y), (5, y), (7, z), (7, f"{z} more"), (8, None), (8, None), (None, z)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect())
+    seven = [k for k in got if k[0] == 7]
+    assert len(seven) == 1 and got.pop(seven[0]) == 1
+    assert got == Counter([(1, x), (5, y), (8, None), (None, z)])
+
+
 def test_kept_digest(spark, small):
     row = queries.op1_substring_dedup(spark, small).filter("n_removed = 0 and n_words > 0").orderBy("doc_id").first()
     text = spark.read.parquet(f"{small}/documents.parquet").filter(F.col("doc_id") == row.doc_id).first().text
