@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, lattice, mixing, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
+from ordermill.llm import exact_dedup, language, lattice, mixing, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -93,6 +93,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "n_tokens", names.alias("domains"), "membership", "rate", "copies")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, copies = exact_dedup.exact_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", f"{copies}.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -105,12 +110,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_near_dedup": op9_near_dedup,
         "op10_mixing": op10_mixing,
+        "op12_exact_dedup": op12_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op7_exact_top_k": TOP_K}
+    return {"op7_exact_top_k": TOP_K, "op12_exact_dedup": EXACT_DUPLICATES}
 
 
 TOP_K = """
@@ -127,3 +133,9 @@ WITH vectors AS (
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
+
+EXACT_DUPLICATES = """
+WITH keyed AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, text_sha256
+FROM keyed WINDOW w AS (PARTITION BY text_sha256)
+"""
