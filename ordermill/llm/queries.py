@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import exact_dedup, language, lattice, mixing, near_dedup, packing, quality_rules, substrings, token_counts, topk, toxicity
+from ordermill.llm import exact_dedup, language, lattice, mixing, near_dedup, packing, prefix_trie, quality_rules, spelling, sql, substrings, token_counts, topk, toxicity
 from ordermill.llm.grams import trained_on
 
 
@@ -93,11 +93,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "n_tokens", names.alias("domains"), "membership", "rate", "copies")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, copies = exact_dedup.exact_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", f"{copies}.*")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -110,13 +118,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_near_dedup": op9_near_dedup,
         "op10_mixing": op10_mixing,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_exact_dedup": op12_exact_dedup,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op7_exact_top_k": TOP_K, "op12_exact_dedup": EXACT_DUPLICATES}
+    return {
+        "op7_exact_top_k": TOP_K,
+        "op11_spelling_variants": sql.SPELLING_VARIANTS,
+        "op12_exact_dedup": EXACT_DUPLICATES,
+        "op13_prefix_trie": sql.PREFIX_TRIE,
+    }
 
 
 TOP_K = """
