@@ -9,8 +9,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ordermill.sources.quoted import quoted_records
+
 CORRUPT = "_corrupt_record"
 
 _local_scratch: str | None = None
@@ -33,6 +36,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of a table, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV with a header row, under an explicit schema or an inferred one; a header that differs from the schema raises."""
     reader = spark.read.option("header", True).option("enforceSchema", False)
@@ -45,23 +60,27 @@ def read_csv_permissive(
 ) -> DataFrame:
     """CSV where a cell that does not parse becomes NULL and the record survives.
 
-    ``multi_line`` keeps quoted line breaks inside their record.  It also stops
-    Spark from splitting a file between tasks, so ask for it only on tables with
-    free text and store those as many files.  ``keep_corrupt`` adds the raw text
-    of records that did not fit.  A header that differs from the schema raises.
+    ``multi_line`` keeps quoted line breaks inside their record; the file is
+    still read by many tasks, in two passes (``quoted.quoted_records``).
+    ``keep_corrupt`` adds the raw text of records that did not fit.  A header
+    that differs from the schema raises.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-    )
+    options = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+    wanted = schema
     if keep_corrupt:
-        schema = StructType(list(schema.fields)).add(CORRUPT, StringType())
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+        wanted = StructType(list(schema.fields)).add(CORRUPT, StringType())
+        options["columnNameOfCorruptRecord"] = CORRUPT
+    if multi_line:
+        records = quoted_records(spark, path)
+        header = F.lower(F.translate("record", '"', ""))
+        expected = ",".join(schema.fieldNames()).lower()
+        wrong = F.raise_error(F.concat(F.lit(f"CSV header does not conform to the schema {expected}: "), header))
+        # The header is judged in the filter, which no column pruning removes.
+        data = records.filter(F.when(~F.col("head"), True).when(header == expected, False).otherwise(wrong.cast("boolean")))
+        parsed = F.from_csv("record", F.lit(wanted.simpleString()), options | {"multiLine": "true"})
+        return data.select(parsed.alias("row")).select("row.*")
+    reader = spark.read.option("header", True).option("enforceSchema", False).options(**options)
+    return reader.schema(wanted).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
