@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ordermill.operators.incremental import latest_per_key
 from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_rows
+from ordermill.sources.versions import BUCKETS, merge_newest, newest_rows
 
 
 def parquet_stream(
@@ -49,16 +49,15 @@ def run_to_table(stream: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_newest_versions(stream: DataFrame, key: str, ts: str, versions: str, checkpoint: str) -> None:
-    """Store each micro-batch's newest row per key under its batch number; a replayed batch replaces itself.
+def run_newest_versions(stream: DataFrame, key: str, ts: str, versions: str, checkpoint: str, buckets: int = BUCKETS) -> None:
+    """Merge each micro-batch into the table of newest versions; a replayed batch changes nothing.
 
     No row is late: a correction or a replay may arrive any time after or before
-    the row it belongs to.  ``newest_versions`` reads the table.
+    the row it belongs to.  The table holds one row for each key, so neither it
+    nor a read of it grows with the number of batches.
     """
     query = (
-        stream.writeStream.foreachBatch(
-            lambda df, i: latest_per_key(df, key, ts).write.mode("overwrite").parquet(f"{versions}/batch={i}")
-        )
+        stream.writeStream.foreachBatch(lambda df, i: merge_newest(df, i, key, ts, versions, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -66,9 +65,9 @@ def run_newest_versions(stream: DataFrame, key: str, ts: str, versions: str, che
     query.awaitTermination()
 
 
-def newest_versions(spark: SparkSession, versions: str, key: str, ts: str) -> DataFrame:
+def newest_versions(spark: SparkSession, versions: str, schema: StructType) -> DataFrame:
     """The newest row of each key over all batches, as the batch form of late deduplication gives it."""
-    return latest_per_key(spark.read.parquet(versions).drop("batch"), key, ts)
+    return newest_rows(spark, versions, schema)
 
 
 def write_split_batch(batch: DataFrame, batch_id: int, valid_out: str, quarantine_out: str) -> None:
