@@ -23,11 +23,33 @@ def shuffle_join(left: DataFrame, right: DataFrame, key: str, how: str = "left")
     return left.join(right.hint("merge"), key, how)
 
 
-def hot_keys(df: DataFrame, key: str, share: float, rows_per_salt: int = 1_000_000) -> DataFrame:
-    """Keys holding more than ``share`` of the keyed rows (at most ``1 / share`` of them), and into how many parts each is cut."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") > total * share).select(key, F.ceil(F.col("n") / rows_per_salt).alias("_salts"))
+def frequent_candidates(df: DataFrame, key: str, share: float) -> DataFrame:
+    """At most ``1 / share`` keys, among them every one with more than ``share`` of the keyed rows.
+
+    Each task sums up its rows in a fixed number of counters and the summaries
+    are merged, so no key is shuffled with its count.
+    """
+    keyed = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"))
+    return keyed.stat.freqItems(["key"], share).select(F.explode("key_freqItems").alias(key))
+
+
+def hot_keys(df: DataFrame, key: str, share: float, rows_per_salt: int | None = None) -> DataFrame:
+    """Keys holding more than ``share`` of the keyed rows (at most ``1 / share`` of them), and into how many parts each is cut.
+
+    Only the candidates are counted.  Without ``rows_per_salt`` a part is a
+    quarter of a task's even share: all keyed rows over the session's shuffle
+    partitions.
+    """
+    keyed = df.filter(F.col(key).isNotNull()).select(key)
+    total = keyed.agg(F.count("*").alias("n")).scalar()
+    listed = F.broadcast(frequent_candidates(df, key, share))
+    counts = keyed.join(listed, key, "left_semi").groupBy(key).agg(F.count("*").alias("n"))
+    if rows_per_salt is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = F.ceil(F.col("n") * (4 * partitions) / total)
+    else:
+        parts = F.ceil(F.col("n") / rows_per_salt)
+    return counts.filter(F.col("n") > total * share).select(key, parts.alias("_salts"))
 
 
 def salted_join(
@@ -36,10 +58,10 @@ def salted_join(
     key: str,
     how: str,
     spread_by: Iterable[str],
-    rows_per_salt: int = 1_000_000,
+    rows_per_salt: int | None = None,
     hot_share: float = 0.01,
 ) -> DataFrame:
-    """Inner or left shuffle join that cuts each hot key of ``left`` into parts of about ``rows_per_salt`` rows.
+    """Inner or left shuffle join that cuts each hot key of ``left`` into parts of about ``rows_per_salt`` rows (see ``hot_keys``).
 
     Only hot keys are salted and only their matches in ``right`` are copied, once
     for each part; NULL keys match nothing and are spread as well.

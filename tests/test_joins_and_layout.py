@@ -1,5 +1,6 @@
 """Join strategies give the plain join's rows; layouts keep every row."""
 
+import math
 from collections import Counter
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from ordermill.operators import joins, layout
+from ordermill.plans.catalog import QUERIES
 from ordermill.sources.tables import write_table
 
 
@@ -39,6 +41,40 @@ def test_salting_spreads_the_hot_key(sides):
     assert joins.hot_keys(left, "k", 0.95).count() == 0
 
 
+def test_parts_follow_from_the_rows_and_partitions(spark, sides, tables):
+    left, _ = sides
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = left.filter("k IS NOT NULL").count()
+    assert [tuple(r) for r in joins.hot_keys(left, "k", 0.05).collect()] == [("hot", math.ceil(4500 * 4 * partitions / keyed))]
+    # The registered query cuts its keys as well.
+    cut = joins.hot_keys(tables.silver("orders"), "order_status", 0.01).collect()
+    assert max(r["_salts"] for r in cut) > 1
+    assert "_salts" in plan(QUERIES["skewed_join_hot_status"](tables))
+
+
+@pytest.mark.parametrize("share", [0.02, 0.1, 0.3])
+def test_candidates_hold_every_frequent_key_in_bounded_number(sides, share):
+    left, _ = sides
+    counts = {r["k"]: r["count"] for r in left.filter("k IS NOT NULL").groupBy("k").count().collect()}
+    listed = [r["k"] for r in joins.frequent_candidates(left, "k", share).collect()]
+    assert {k for k, n in counts.items() if n > share * sum(counts.values())} <= set(listed) and None not in listed
+    assert len(listed) <= 1 / share
+
+
+def test_hot_keys_shuffle_no_other_key(spark, tmp_path):
+    table = write_table(spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")), str(tmp_path / "t"))
+    text = plan(joins.hot_keys(table, "k", 0.01))
+    grouped = text[text.index("HashAggregate(keys=[k") :]
+    assert "BroadcastHashJoin" in grouped and "LeftSemi" in grouped
+
+
+def test_no_rows_no_hot_keys(sides):
+    left, right = sides
+    empty = left.filter("false")
+    assert joins.hot_keys(empty, "k", 0.01).count() == 0
+    assert joins.salted_join(empty, right, "k", "left", spread_by=["id"]).count() == 0
+
+
 def test_salted_join_refuses_what_it_cannot_keep(sides):
     with pytest.raises(ValueError):
         joins.salted_join(*sides, "k", "full", spread_by=["id"])
