@@ -666,8 +666,9 @@ def silver_audit(t: Tables) -> DataFrame:
 def gold_validation_suite(t: Tables) -> DataFrame:
     """The marts are stored once, then audited: 59 checks."""
     silver = {n: t.silver(n) for n in SOURCE_TABLES}
-    gold = medallion.build_gold(silver, t.scratch("gold"))
-    return validation.validate_gold(gold, validation.gold_expectations(silver))
+    lines = medallion.build_lines(silver, t.scratch("shared"))
+    gold = medallion.build_gold(silver, t.scratch("gold"), lines)
+    return validation.validate_gold(gold, validation.gold_expectations(silver, lines))
 
 
 def _spoiled(df: DataFrame, metrics: tuple[str, ...], key: str | None = None, **changed: Column) -> DataFrame:
@@ -683,12 +684,13 @@ def _spoiled(df: DataFrame, metrics: tuple[str, ...], key: str | None = None, **
 def gold_validation_suite_defects(t: Tables) -> DataFrame:
     """The suite over spoiled marts: each of the 59 checks fails."""
     silver = {n: t.silver(n) for n in SOURCE_TABLES}
-    gold = medallion.build_gold(silver, t.scratch("gold"))
+    lines = medallion.build_lines(silver, t.scratch("shared"))
+    gold = medallion.build_gold(silver, t.scratch("gold"), lines)
     spoiled = {name: _spoiled(gold[name], metrics, key) for name, (key, metrics) in MART_METRICS.items()}
     key, metrics = MART_METRICS["orders"]
     strangers = F.concat("customer_id", F.lit("-unknown"))
     spoiled["orders"] = _spoiled(gold["orders"], metrics, key, customer_id=strangers)
-    return validation.validate_gold(spoiled, validation.gold_expectations(silver))
+    return validation.validate_gold(spoiled, validation.gold_expectations(silver, lines))
 
 
 def _spoiled_persons(t: Tables) -> DataFrame:
@@ -935,14 +937,14 @@ def _batches(t: Tables, label: str, *sources: DataFrame) -> DataFrame:
 
 @query
 def stream_late_dedup(t: Tables) -> DataFrame:
-    """The rows of ``late_dedup`` from a stream of three arrivals: corrections first, then the orders, then replays."""
+    """The rows of ``late_dedup`` from a stream of five arrivals: corrections come before the orders, and both again after."""
     inbox, versions, checkpoint = t.scratch("late-in"), t.scratch("late-versions"), t.scratch("late-checkpoint")
     orders = _in_lookback(t)
-    for arrival in (_corrections(orders), orders, orders):
+    for arrival in (_corrections(orders), orders, orders, _corrections(orders), orders):
         arrival.write.mode("append").parquet(inbox)
         stream = streams.parquet_stream(t.spark, inbox, orders.schema)
-        streams.run_newest_versions(stream, "order_id", PURCHASED, versions, checkpoint)
-    return streams.newest_versions(t.spark, versions, "order_id", PURCHASED)
+        streams.run_newest_versions(stream, "order_id", PURCHASED, versions, checkpoint, buckets=8)
+    return streams.newest_versions(t.spark, versions, orders.schema)
 
 
 @query
@@ -1022,6 +1024,16 @@ def skewed_join_unmatched(t: Tables) -> DataFrame:
     return joins.salted_join(reviews, orders, "order_id", "left", spread_by=["review_id"])
 
 
+@query
+def skewed_join_hot_status(t: Tables) -> DataFrame:
+    """Orders next to the figures of their status; each status holds a large share of the orders and is cut into parts."""
+    orders = t.silver("orders").select("order_id", "order_status", PURCHASED)
+    per_status = orders.groupBy("order_status").agg(
+        F.count("*").alias("status_orders"), F.min(PURCHASED).alias("status_since"), F.max(PURCHASED).alias("status_until")
+    )
+    return joins.salted_join(orders, per_status, "order_status", "left", spread_by=["order_id"])
+
+
 @query
 def filter_before_shuffle(t: Tables) -> DataFrame:
     return marts.delivered_orders(t.silver("orders"), ["order_id", "customer_id", PURCHASED]).repartition("customer_id")

@@ -27,20 +27,30 @@ def build_silver(bronze: Mapping[str, DataFrame], root: str) -> dict[str, DataFr
     return write_tables({t: clean(bronze[t]) for t, clean in CLEANERS.items()}, root)
 
 
-def build_gold(silver: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """The eight marts; customers read the stored order mart."""
+def build_lines(silver: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """The items by order, product and seller, stored: the one shuffle of all items, from which all marts roll up."""
+    return write_table(marts.item_lines(silver["order_items"]), f"{root}/order_lines")
+
+
+def gold_plans(silver: Mapping[str, DataFrame], lines: DataFrame) -> dict[str, DataFrame]:
+    """The marts that need no other mart."""
     s = silver
-    plans = {
-        "orders": marts.gold_orders(s["orders"], s["order_items"], s["order_payments"]),
-        "products": marts.gold_products(s["products"], s["order_items"]),
-        "sellers": marts.gold_sellers(s["sellers"], s["order_items"]),
-        "category": marts.gold_category(s["order_items"], s["products"], s["category_translation"]),
+    return {
+        "orders": marts.gold_orders(s["orders"], lines, s["order_payments"]),
+        "products": marts.gold_products(s["products"], lines),
+        "sellers": marts.gold_sellers(s["sellers"], lines),
+        "category": marts.gold_category(lines, s["products"], s["category_translation"]),
         "reviews": marts.gold_reviews(s["order_reviews"]),
         "payments": marts.gold_payments(s["order_payments"]),
         "geolocation": marts.gold_geolocation(s["geolocation"]),
     }
-    gold = write_tables(plans, root)
-    return gold | write_tables({"customers": marts.gold_customers(s["customers"], gold["orders"])}, root)
+
+
+def build_gold(silver: Mapping[str, DataFrame], root: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight marts; customers read the stored order mart."""
+    lines = build_lines(silver, root) if lines is None else lines
+    gold = write_tables(gold_plans(silver, lines), root)
+    return gold | write_tables({"customers": marts.gold_customers(silver["customers"], gold["orders"])}, root)
 
 
 def layer_row_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
@@ -68,8 +78,9 @@ def run_medallion(
     """All layers below ``root`` and the findings; raises on a failed check when ``strict``."""
     bronze = bronze_ingest(spark, raw_paths, f"{root}/bronze", schemas)
     silver = build_silver(bronze, f"{root}/silver")
-    gold = build_gold(silver, f"{root}/gold")
-    findings = write_table(validate_gold(gold, gold_expectations(silver)).coalesce(1), f"{root}/findings")
+    lines = build_lines(silver, f"{root}/shared")
+    gold = build_gold(silver, f"{root}/gold", lines)
+    findings = write_table(validate_gold(gold, gold_expectations(silver, lines)).coalesce(1), f"{root}/findings")
     if strict:
         raise_on_failure(findings)
     return {"bronze": bronze, "silver": silver, "gold": gold, "audit": {"findings": findings}}

@@ -1,9 +1,11 @@
 """The plans the operators promise."""
 
 import pytest
-from conftest import plan
+from conftest import plan, rows
 
 from ordermill.operators import incremental, marts, quality
+from ordermill.plans import medallion, validation
+from ordermill.sources.contracts import SOURCE_TABLES
 from ordermill.sources.tables import write_table
 
 
@@ -65,3 +67,31 @@ def test_null_safe_recomputation_is_an_equi_join(stored):
     mart = marts.sales_metrics(stored["items"], ["product_id", "seller_id"], {})
     text = plan(quality.compare_metrics(mart, mart, "t", ["product_id", "seller_id"], ["total_items_sold"], []))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_distinct_counts_expand_no_rows(tables, stored):
+    """Two distinct counts are two aggregates; one aggregate would triple its rows first."""
+    for mart in (marts.gold_sellers(tables.silver("sellers"), stored["items"]), marts.gold_orders(stored["orders"], stored["items"], stored["payments"])):
+        assert "Expand" not in plan(mart)
+
+
+def test_all_item_marts_roll_up_from_one_shuffle_of_the_items(tables, stored, tmp_path):
+    """Only the lines read the items; the marts and what is expected of them read the lines."""
+    silver = {n: tables.silver(n) for n in SOURCE_TABLES} | {"order_items": stored["items"]}
+    lines = medallion.build_lines(silver, str(tmp_path))
+    items = stored["items"].inputFiles()[0].rsplit("/", 1)[0]
+    # Exchanges of the lines' own plan: by order, product and seller, once.
+    assert plan(marts.item_lines(stored["items"])).count("Exchange hashpartitioning") == 1
+    for mart in (*medallion.gold_plans(silver, lines).values(), validation.gold_expectations(silver, lines)):
+        assert not any(f.startswith(items) for f in mart.inputFiles())
+
+
+def test_lines_give_the_same_marts_as_items(tables, stored):
+    lines = marts.item_lines(stored["items"])
+    names = tables.silver("category_translation")
+    for build in (
+        lambda i: marts.gold_orders(stored["orders"], i, stored["payments"]),
+        lambda i: marts.gold_products(tables.silver("products"), i),
+        lambda i: marts.gold_category_translated(i, tables.silver("products"), names),
+    ):
+        assert sorted(rows(build(lines)), key=repr) == sorted(rows(build(stored["items"])), key=repr)
