@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.quality_rules import fresh_name
+from ordermill.llm.storage import stored
 
 #: Bits of a block of the filter, as ``bitmap_construct_agg`` has it.
 BLOCK = 1 << 15
@@ -79,6 +80,8 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     found = keyed.join(repeated, block == F.col(at), "left").withColumn(suspect, is_set(bits, first) & is_set(bits, second))
     found = found.select(*given, sha, suspect)
     groups = found.filter(F.col(suspect)).groupBy(F.col(sha).alias(key)).agg(F.min(doc_id).alias(least), F.count("*").alias(n))
+    # Two joins read the groups; written once, they take one pass over the texts instead of two.
+    groups = stored(groups, "copies")
     frequent = F.col(n) > max(FREQUENT, rows / LISTED)
     told = found.join(F.broadcast(groups.filter(frequent)), F.col(sha) == F.col(key), "left")
     through = told.filter(~F.col(suspect) | F.col(key).isNotNull())
