@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import buffers
 from ordermill.llm.grams import labelled_sample, one_text
 from ordermill.llm.language import BITS, vectors
+from ordermill.llm.quality_rules import fresh_name
 from ordermill.llm.storage import stored
 
 
@@ -170,7 +171,9 @@ def copies(weight: Column, key: Column) -> Column:
 
 def mixed_documents(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as its rate says (perhaps not at all), with the same columns."""
-    taken = with_membership(docs, mixture.model, text, "__tokens", "__membership")
-    uses = copies(rate(mixture.steps, "__membership"), F.col(doc_id))
-    used = taken.withColumn("__uses", uses).filter("__uses > 0")
-    return used.withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    tokens, membership, uses = (fresh_name(docs, c) for c in ("tokens", "membership", "uses"))
+    taken = with_membership(docs, mixture.model, text, tokens, membership)
+    times = copies(rate(mixture.steps, f"`{membership}`"), F.col(doc_id))
+    used = taken.withColumn(uses, times).filter(F.col(uses) > 0)
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    return used.select(*given, F.explode(F.sequence(F.lit(1), F.col(uses)))).select(*given)

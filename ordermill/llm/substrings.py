@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import buffers
+from ordermill.llm.quality_rules import fresh_name
 
 #: Words in a minimiser; packed bytes of a bucket, and of what is folded at once.
 MINIMISER, BUCKET, FOLD = 3, 6 << 20, 8 << 20
@@ -277,9 +278,12 @@ def later_spans(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(fold, "doc long, variant long, low long, high long")
 
 
-def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text", into: str = "_") -> DataFrame:
     """All rows and columns of ``docs``, with ``_n_words``, ``_n_removed`` and ``_kept`` (kept words, one space between).
 
+    ``into`` is what the three new names begin with; a name that ``docs`` has
+    already raises, and its other columns may have any name.
+
     A window is ``size`` consecutive words of one document.  Words covered by a
     window whose words also start earlier (smaller id, or same document and
     earlier) are removed; windows are judged on the input.  A null id is before
@@ -287,6 +291,9 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     equal in both are one document and get equal results.  A null text has no
     words.  Texts shorter than a window and empty tables pass unchanged.
     """
+    results = [f"{into}{c}" for c in ("n_words", "n_removed", "kept")]
+    if any(fresh_name(docs, c) != c for c in results):
+        raise ValueError(f"columns named {results} are there already; choose another beginning")
     spark = docs.sparkSession
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
     per_id = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("size"))
@@ -302,14 +309,15 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     rows = super_k_mers(sources, size, buckets, heavy, extra).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = later_spans(rows, size).groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     names = docs.columns
-    keyed = docs.select("*", key.alias("__doc"), variant.alias("__variant"))
-    joined = keyed.join(found, (F.col("__doc") == F.col("doc")) & (F.col("__variant") == F.col("variant")), "left")
-    joined = joined.select(*[keyed[c] for c in names], F.col("spans").alias("__spans"))
+    doc, version, spans, at, which = (fresh_name(docs, c) for c in ("doc", "variant", "spans", "found_doc", "found_variant"))
+    keyed = docs.withColumns({doc: key, version: variant})
+    joined = keyed.join(found.toDF(at, which, spans), (F.col(doc) == F.col(at)) & (F.col(version) == F.col(which)), "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in names], spans)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in buffers.slices(batches, text):
             w = buffers.words(batch.column(text))
-            column = batch.column("__spans")
+            column = batch.column(spans)
             flat, owner = column.flatten(), np.repeat(np.arange(batch.num_rows), pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))
             edge = np.zeros(len(w.start) + 1, dtype=np.int64)
             for field, step in (("low", 1), ("high", -1)):
@@ -323,7 +331,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
             length = end - begin - (count > 0)
             body = text_bytes[buffers.ragged(begin, length)]
             kept_text = buffers.binaries(body, np.concatenate(([0], np.cumsum(length)))).cast(pa.large_string()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(total), pa.array(total - count), kept_text], names=[*names, "_n_words", "_n_removed", "_kept"])
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(total), pa.array(total - count), kept_text], names=[*names, *results])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(cut, f"{kinds}, _n_words long, _n_removed long, _kept string")
+    return joined.mapInArrow(cut, f"{kinds}, `{results[0]}` long, `{results[1]}` long, `{results[2]}` string")
