@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import mixing, near_dedup, quality_rules, queries as operators, substrings
+from ordermill.llm.quality_rules import fresh_name
 from ordermill.llm.storage import stored
 
 
@@ -20,7 +21,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found, numbers, posterior = quality_rules.judged(docs)
     words, repeated = F.col(f"{numbers}.n_words"), F.col(f"{numbers}.n_repeat_words")
     good = (words >= 10) & (100 * repeated <= 20 * words) & (F.col(posterior) >= 0.5)
-    return found.filter(good).select(*docs.columns)
+    return found.filter(good).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,18 +30,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are judged by their text.  Of rows with the same id and words, the first
     in the order of their texts and then of all other columns stays.
     """
-    kept = near_dedup.judged(docs).filter("kept and doc_id is not null").select("doc_id", F.col("digest").alias("__digest")).distinct()
-    rows = near_dedup.with_digest(docs.filter("doc_id is not null"), "__digest").join(kept, ["doc_id", "__digest"], "left_semi")
-    order = Window.partitionBy("doc_id", "__digest").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = rows.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").select(*docs.columns)
+    digest, nth = fresh_name(docs, "digest"), fresh_name(docs, "nth")
+    kept = near_dedup.judged(docs).filter("stays and doc_id is not null").select("doc_id", F.col("digest").alias(digest)).distinct()
+    rows = near_dedup.with_digest(docs.filter("doc_id is not null"), digest).join(kept, ["doc_id", digest], "left_semi")
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    order = Window.partitionBy("doc_id", digest).orderBy("text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
+    one = rows.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).select(*given)
     return one.unionByName(docs.filter("doc_id is null"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages that an earlier document has; drop documents of which nothing is left."""
-    found = substrings.remove_repeats(docs).filter("_n_removed = 0 or _n_removed < _n_words")
-    text = F.when(F.col("_n_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
-    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    into = "_"
+    while any(c.lower().startswith(into) for c in docs.columns):
+        into += "_"
+    words, removed, kept = (F.col(f"{into}{c}") for c in ("n_words", "n_removed", "kept"))
+    found = substrings.remove_repeats(docs, into=into).filter((removed == 0) | (removed < words))
+    text = F.when(removed > 0, kept).otherwise(F.col("text"))
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*given)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
