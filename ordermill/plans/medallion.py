@@ -6,6 +6,7 @@ twice and lost executors recompute one layer at most.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
@@ -19,8 +20,8 @@ from ordermill.operators.incremental import after_mark, between_dates, next_mark
 from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_rows
 from ordermill.plans.validation import gold_expectations, raise_on_failure, validate_gold
 from ordermill.sources.ingest import bronze_ingest
-from ordermill.sources.marks import read_mark, write_mark
-from ordermill.sources.tables import write_table, write_tables
+from ordermill.sources.marks import mark_history, read_mark, write_mark
+from ordermill.sources.tables import remove_path, write_table, write_tables
 
 
 def build_silver(bronze: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
@@ -112,16 +113,36 @@ def run_idempotent_batch(source: DataFrame, ts: str, path: str, start: str, end:
     return source.sparkSession.read.schema(by_day.schema).parquet(path)
 
 
+class ConcurrentRunError(RuntimeError):
+    """Another run has committed in the meantime; nothing of this one counts."""
+
+
 def run_incremental(source: DataFrame, ts: str, marks: str, out: str) -> None:
     """Process the rows after the stored mark, then move the mark.
 
-    The mark is written last, so a run that fails before is repeated whole and
-    replaces its own output.  Without new rows nothing changes.
+    Each attempt writes to a folder of its own, and the mark names the attempt
+    that counts (``incremental_rows``).  The mark is written last and only once
+    a run: what an attempt left that failed before, or lost to another, is never
+    read.  Without new rows nothing changes.
     """
     spark = source.sparkSession
     last_run, mark = read_mark(spark, marks)
-    run = last_run + 1
-    written = write_table(after_mark(source, ts, mark), f"{out}/run={run}")
+    run, attempt = last_run + 1, f"a{uuid.uuid4().hex}"
+    path = f"{out}/run={run}/attempt={attempt}"
+    written = write_table(after_mark(source, ts, mark), path)
     reached = next_mark(written, ts, mark).first()["mark"]
-    if reached > mark:
-        write_mark(spark, marks, run, reached)
+    if reached <= mark:
+        remove_path(spark, path)
+    elif not write_mark(spark, marks, run, reached, attempt):
+        remove_path(spark, path)
+        raise ConcurrentRunError(f"run {run} is committed already")
+
+
+def incremental_rows(spark: SparkSession, marks: str, out: str) -> DataFrame:
+    """The rows of all committed runs, with ``run`` and ``mark``.
+
+    The log has a few bytes a run; joined on the partition columns, it keeps
+    other attempts' files from being read.
+    """
+    committed = mark_history(spark, marks).filter("attempt IS NOT NULL")
+    return spark.read.parquet(out).join(committed, ["run", "attempt"]).drop("attempt")

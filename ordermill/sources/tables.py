@@ -48,6 +48,21 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Give a file another place in the same store."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def file_names(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
+    """Names of the files and folders in a folder; without those that readers skip, unless ``hidden``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = sorted(f.getPath().getName() for f in found)
+    return names if hidden else [n for n in names if not n.startswith(("_", "."))]
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV with a header row, under an explicit schema or an inferred one; a header that differs from the schema raises."""
     reader = spark.read.option("header", True).option("enforceSchema", False)

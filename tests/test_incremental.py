@@ -1,14 +1,19 @@
 """Marks, lookback, late data and idempotent batches."""
 
+import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime as dt
+from datetime import timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from ordermill.operators import incremental as inc
+from ordermill.plans import medallion
 from ordermill.plans.medallion import run_idempotent_batch, run_incremental
-from ordermill.sources.marks import mark_history, read_mark, write_mark
+from ordermill.sources.marks import fold, mark_history, read_mark, write_mark
 
 MARK = dt(2020, 6, 1, 12)
 SCHEMA = "k string, ts timestamp_ntz, payload string"
@@ -110,3 +115,59 @@ def test_a_day_that_lost_its_rows_ends_up_empty(spark, tmp_path):
     gone = run_idempotent_batch(df.filter("false"), "ts", path, "2020-01-01", "2020-01-04")
     assert gone.count() == 0 and gone.columns == ["k", "ts", "payload", "day"]
     assert run_idempotent_batch(df.filter("false"), "ts", str(tmp_path / "new"), "2020-01-01", "2020-01-04").count() == 0
+
+
+def test_two_runs_that_race_leave_one_mark(spark, feed, tmp_path, monkeypatch):
+    """Both read the same mark and write their rows; one commits, the other fails and leaves nothing."""
+    marks, out = str(tmp_path / "marks"), str(tmp_path / "out")
+    assert write_mark(spark, marks, 0, MARK)
+    ready = threading.Barrier(2, timeout=60)
+    move = medallion.next_mark
+    monkeypatch.setattr(medallion, "next_mark", lambda *a: (move(*a), ready.wait())[0])
+
+    def attempt(_):
+        try:
+            run_incremental(feed, "ts", marks, out)
+            return "committed"
+        except medallion.ConcurrentRunError:
+            return "lost"
+
+    with ThreadPoolExecutor(2) as pool:
+        assert sorted(pool.map(attempt, range(2))) == ["committed", "lost"]
+    assert mark_history(spark, marks).count() == 2
+    rows = medallion.incremental_rows(spark, marks, out)
+    assert rows.count() == inc.after_mark(feed, "ts", MARK).count()
+    assert len(list((tmp_path / "out" / "run=1").glob("attempt=*"))) == 1
+
+
+def test_an_attempt_without_a_mark_is_never_read(spark, feed, tmp_path):
+    marks, out = str(tmp_path / "marks"), str(tmp_path / "out")
+    write_mark(spark, marks, 0, MARK)
+    feed.write.parquet(f"{out}/run=1/attempt=dead")
+    run_incremental(feed, "ts", marks, out)
+    assert medallion.incremental_rows(spark, marks, out).count() == inc.after_mark(feed, "ts", MARK).count()
+
+
+def test_a_thousand_runs_leave_few_files(spark, tmp_path):
+    marks, runs = str(tmp_path / "marks"), 1000 if "LONG_TESTS" in os.environ else 50
+    for run in range(runs):
+        assert write_mark(spark, marks, run, MARK + timedelta(hours=run), f"a{run}")
+    assert not write_mark(spark, marks, runs - 1, MARK) and not write_mark(spark, marks, 3, MARK)
+    assert len([p for p in (tmp_path / "marks").iterdir() if p.name[0] not in "._"]) <= 10
+    assert read_mark(spark, marks) == (runs - 1, MARK + timedelta(hours=runs - 1))
+    assert mark_history(spark, marks).count() == runs
+
+
+def test_entries_and_folded_files_may_overlap(spark, tmp_path):
+    """A run that died while folding leaves both; the history counts each run once, and the next fold cleans up."""
+    marks = str(tmp_path / "marks")
+    for run in range(6):
+        write_mark(spark, marks, run, MARK + timedelta(hours=run))
+    kept = {p.name: p.read_text() for p in (tmp_path / "marks").glob("run-*.json")}
+    fold(spark, marks, 5)
+    for name, text in kept.items():
+        (tmp_path / "marks" / name).write_text(text)
+    assert mark_history(spark, marks).count() == 6
+    for run in range(6, 9):
+        assert write_mark(spark, marks, run, MARK + timedelta(hours=run))
+    assert sorted(p.name[:4] for p in (tmp_path / "marks").iterdir() if p.name[0] not in "._") == ["upto"]
