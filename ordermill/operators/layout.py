@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import math
+import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermill.sources.tables import write_table
+from ordermill.sources.marks import put_if_absent
+from ordermill.sources.tables import file_names, path_exists, remove_path, rename_path
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
@@ -51,16 +53,71 @@ def file_layout(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
 
 
-def compact_table(
-    spark: SparkSession, path: str, out: str, target_bytes: int = 256 * 1024 * 1024, partition_by: str | None = None
-) -> DataFrame:
-    """Rewrite a table of many small files into files near ``target_bytes`` each.
+def file_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``path, file, folder, bytes`` of every Parquet file of a table.
 
-    A table partitioned by ``partition_by`` stays so; ``rebalance`` gathers a
-    partition into few files and splits one too large for one task.
+    ``folder`` is where it lies, partitions included; ``file`` is the path as
+    rows know it, with special characters escaped.
     """
-    if partition_by is not None:
-        return write_table(spark.read.parquet(path).hint("rebalance", partition_by), out, partition_by=partition_by)
-    seen = file_layout(spark, path).first()
-    wanted = max(1, math.ceil((seen["bytes"] or 0) / target_bytes))
-    return write_table(spark.read.parquet(path), out, files=wanted)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return files.select("path", F.col("_metadata.file_path").alias("file"), folder.alias("folder"), F.col("length").alias("bytes"))
+
+
+def packed_small_files(manifest: DataFrame, target_bytes: int) -> DataFrame:
+    """``bin, folder, path, file`` of the files worth rewriting: those below half the target, packed by folder.
+
+    Files go into a folder's bins largest first, each bin near the target; what
+    would be alone in its bin stays, and so does every larger file.
+    """
+    order = Window.partitionBy("folder").orderBy(F.desc("bytes"), "file")
+    before = F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    binned = manifest.filter(F.col("bytes") < target_bytes / 2).withColumn("nth", F.floor(before / target_bytes))
+    together = Window.partitionBy("folder", "nth")
+    packed = binned.withColumn("files", F.count("*").over(together)).filter("files > 1")
+    return packed.select(F.dense_rank().over(Window.orderBy("folder", "nth")).alias("bin"), "folder", "path", "file")
+
+
+def compact_table(spark: SparkSession, path: str, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Rewrite a table's small files in place into files near ``target_bytes``; returns how many were rewritten.
+
+    Larger files are not touched, and every row stays in its partition, whatever
+    the table is partitioned by.  New files are complete and listed in a plan
+    before the first old one goes.  A run that dies after that leaves rows in a
+    hidden folder, and the next one puts them in place first; a reader in between
+    sees too few rows, never a row twice.  Two compactions of one table must not
+    run at once.
+    """
+    finish_compactions(spark, path)
+    bins = packed_small_files(file_manifest(spark, path), target_bytes).collect()  # a few bytes for each small file
+    if not bins:
+        return 0
+    work = f"{path.rstrip('/')}/_compact-{uuid.uuid4().hex}"
+    chosen = spark.createDataFrame([(r["file"], r["bin"]) for r in bins], "file string, bin int")
+    rows = spark.read.parquet(*[r["path"] for r in bins])
+    columns = rows.columns
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file")).join(F.broadcast(chosen), F.col("_file") == F.col("file"))
+    number = max(r["bin"] for r in bins)
+    rows.select(*columns, "bin").repartition(number, "bin").write.partitionBy("bin").parquet(f"{work}/new")
+    plan: dict[int, dict] = {}
+    for r in bins:
+        plan.setdefault(r["bin"], {"bin": r["bin"], "folder": r["folder"], "old": []})["old"].append(r["path"])
+    put_if_absent(spark, f"{work}/plan.json", "\n".join(json.dumps(p) for p in plan.values()))
+    finish_compactions(spark, path)
+    return len(bins)
+
+
+def finish_compactions(spark: SparkSession, path: str) -> None:
+    """Put the files of every planned rewrite in place; drop rewrites that died before they had a plan."""
+    for name in file_names(spark, path, hidden=True):
+        if not name.startswith("_compact-"):
+            continue
+        work = f"{path.rstrip('/')}/{name}"
+        if path_exists(spark, f"{work}/plan.json"):
+            for row in spark.read.schema("bin int, folder string, old array<string>").json(f"{work}/plan.json").collect():
+                for old in row["old"]:
+                    remove_path(spark, old)
+                source = f"{work}/new/bin={row['bin']}"
+                for i, new in enumerate(file_names(spark, source) if path_exists(spark, source) else []):
+                    rename_path(spark, f"{source}/{new}", f"{row['folder']}/part-{name[9:]}-{row['bin']}-{i}.parquet")
+        remove_path(spark, work)

@@ -24,7 +24,7 @@ from ordermill.sources.contracts import (
     local_time_contract,
 )
 from ordermill.sources.ingest import bronze_ingest, rejected_records
-from ordermill.sources.marks import mark_history, write_mark
+from ordermill.sources.marks import write_mark
 from ordermill.sources.roles import Roles
 from ordermill.sources.tables import (
     materialize,
@@ -870,7 +870,8 @@ def incremental_high_water_mark(t: Tables) -> DataFrame:
     arrived = orders.filter(F.col(PURCHASED) < incremental.instant(ARRIVED))
     for available in (arrived, orders, orders):
         medallion.run_incremental(available, PURCHASED, marks, out)
-    return t.spark.read.parquet(out).join(mark_history(t.spark, marks), "run", "left")
+    rows = medallion.incremental_rows(t.spark, marks, out)
+    return rows.withColumn("run", F.col("run").cast("int"))
 
 
 @query
@@ -993,17 +994,29 @@ def repartition_layouts(t: Tables) -> DataFrame:
 
 @query
 def compact_table(t: Tables) -> DataFrame:
-    """Fifty small files rewritten by size."""
-    small = t.scratch("small-files")
-    write_table(t.silver("orders"), small, files=50)
-    compacted = t.scratch("compacted")
-    layout.compact_table(t.spark, small, compacted)
+    """Fifty small files rewritten by size, in place."""
+    small, compacted = t.scratch("small-files"), t.scratch("compacted")
+    for path in (small, compacted):
+        write_table(t.silver("orders"), path, files=50)
+    layout.compact_table(t.spark, compacted)
     sides = [layout.file_layout(t.spark, p).select("files", "rows") for p in (small, compacted)]
     return quality.union_findings(
         side.withColumn("state", F.lit(state)) for side, state in zip(sides, ("small", "compacted"))
     )
 
 
+@query
+def compact_partitioned_table(t: Tables) -> DataFrame:
+    """Orders by status in many files each; compaction is not told of the partitions and keeps them."""
+    path = t.scratch("compacted-by-status")
+    write_table(t.silver("orders"), path, files=20, partition_by="order_status")
+    layout.compact_table(t.spark, path)
+    stored = t.spark.read.parquet(path)
+    return stored.groupBy("order_status").agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias("files"), F.count("*").alias("rows"), F.min("order_id").alias("first_order")
+    )
+
+
 @query
 def key_skew_profile(t: Tables) -> DataFrame:
     return layout.key_skew_profile(t.silver("order_items"), "seller_id", k=10)

@@ -105,25 +105,63 @@ def test_skew_profile(sides):
     assert top[0]["ratio_to_mean"] == round(4500 * keys / 5000, 6)
 
 
+def files_of(folder):
+    return {p.relative_to(folder): p.stat().st_size for p in folder.rglob("*.parquet")}
+
+
 def test_compaction_by_size(spark, tmp_path):
-    small = str(tmp_path / "small")
-    write_table(spark.range(20_000), small, files=50)
-    before = layout.file_layout(spark, small).first()
-    layout.compact_table(spark, small, str(tmp_path / "one"))
+    for name in ("one", "some"):
+        write_table(spark.range(20_000), str(tmp_path / name), files=50)
+    before = layout.file_layout(spark, str(tmp_path / "one")).first()
+    assert layout.compact_table(spark, str(tmp_path / "one")) == 50
+    assert layout.compact_table(spark, str(tmp_path / "one")) == 0  # nothing left to gain
     one = layout.file_layout(spark, str(tmp_path / "one")).first()
-    layout.compact_table(spark, small, str(tmp_path / "some"), target_bytes=before["bytes"] // 4 + 1)
+    layout.compact_table(spark, str(tmp_path / "some"), target_bytes=before["bytes"] // 4 + 1)
     some = layout.file_layout(spark, str(tmp_path / "some")).first()
     assert (before["files"], one["files"], some["files"]) == (50, 1, 4)
     assert before["rows"] == one["rows"] == some["rows"] == 20_000
-
-
-def test_compaction_keeps_partitions(spark, tmp_path):
-    small, one = str(tmp_path / "days"), str(tmp_path / "days-one")
-    write_table(spark.range(1000).withColumn("day", F.col("id") % 3), small, files=20, partition_by="day")
-    layout.compact_table(spark, small, one, partition_by="day")
-    assert sorted(p.name for p in (tmp_path / "days-one").glob("day=*")) == ["day=0", "day=1", "day=2"]
-    assert layout.file_layout(spark, one).first()["rows"] == 1000
-    assert layout.file_layout(spark, one).first()["files"] < layout.file_layout(spark, small).first()["files"]
+    assert not list((tmp_path / "one").glob("_compact*"))
+
+
+def test_compaction_leaves_large_files_and_keeps_partitions_it_is_not_told_of(spark, tmp_path):
+    table = tmp_path / "days"
+    rows_ = spark.range(3000).withColumns({"day": F.concat(F.lit("2001-07-01 0"), F.col("id") % 3, F.lit(":00 é")), "part": F.col("id") % 2})
+    rows_.repartition(12).write.partitionBy("day", "part").parquet(str(table))
+    # A large file in one partition, and one partition with a single small file.
+    spark.range(10_000, 90_000).coalesce(1).withColumns({"day": F.lit("2001-07-01 00:00 é"), "part": F.lit(0)}).write.mode("append").partitionBy("day", "part").parquet(str(table))
+    spark.range(5).coalesce(1).withColumns({"day": F.lit("alone"), "part": F.lit(1)}).write.mode("append").partitionBy("day", "part").parquet(str(table))
+    before, want = files_of(table), rows(spark.read.parquet(str(table)), "id", "day", "part")
+    large = max(before, key=before.get)
+    layout.compact_table(spark, str(table), target_bytes=before[large])
+    after = files_of(table)
+    assert after[large] == before[large] and {p for p in before if "day=alone" in p.parts} <= set(after)
+    assert {p.parent for p in after} == {p.parent for p in before}
+    assert len(after) == 8 and len(before) > 50
+    assert rows(spark.read.parquet(str(table)), "id", "day", "part") == want
+
+
+@pytest.mark.parametrize("after", [0, 1, 3])
+def test_a_compaction_that_died_is_finished_by_the_next(spark, tmp_path, monkeypatch, after):
+    """It dies before its plan, or with the plan after some removals; no row is lost or doubled."""
+    table = tmp_path / "t"
+    spark.range(500).repartition(10).write.parquet(str(table))
+    calls, remove = [], layout.remove_path
+
+    def dies(*a):
+        calls.append(a)
+        if len(calls) > after:
+            raise OSError("lost")
+        remove(*a)
+
+    monkeypatch.setattr(layout, "remove_path", dies)
+    if after == 0:
+        monkeypatch.setattr(layout, "put_if_absent", dies)
+    with pytest.raises(OSError):
+        layout.compact_table(spark, str(table))
+    monkeypatch.undo()
+    layout.compact_table(spark, str(table))
+    assert rows(spark.read.parquet(str(table)), "id") == [(i,) for i in range(500)]
+    assert len(files_of(table)) == 1 and not list(table.glob("_compact*"))
 
 
 def test_filter_order_does_not_change_the_plan(spark, tables):
