@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ordermill.operators import contracts, incremental, joins, layout, marts, quality, values
 from ordermill.operators import quarantine as qr
@@ -847,6 +848,23 @@ def schema_evolution_gate(t: Tables) -> DataFrame:
     return quality.union_findings(results)
 
 
+@query
+def schema_widening(t: Tables) -> DataFrame:
+    """Order values in cents under a contract of narrow types: what widens, what is refused, and what narrow types would lose."""
+    orders = t.gold_orders().select("order_id", "total_items", F.rint(F.col("total_order_value") * 100).cast("bigint").alias("cents"), F.struct("order_status", "total_items").alias("detail"))
+    expected = StructType.fromDDL("order_id string, total_items int, cents int, detail struct<order_status: int, total_items: int>, note string")
+    return contracts.widening_diff(orders.withColumn("cents", F.col("cents") * 1000), expected)
+
+
+@query
+def evolve_widening(t: Tables) -> DataFrame:
+    """Item numbers as int and as long in one table, with a detail that only the later batch has."""
+    items = t.silver("order_items").select("order_id", "order_item_id", F.struct("product_id").alias("detail"))
+    later = items.select("order_id", F.col("order_item_id").cast("bigint") + 5_000_000_000, F.struct("detail.product_id", F.lit("late").alias("origin")))
+    both = contracts.evolve_widening(items, later.toDF("order_id", "order_item_id", "detail"), allow_new_columns=True)
+    return both.groupBy("detail.origin").agg(F.count("*").alias("rows"), F.sum("order_item_id").alias("item_ids"), F.min("detail.product_id").alias("first_product"))
+
+
 # -- incremental, late and idempotent -------------------------------------------------
 
 

@@ -72,3 +72,70 @@ def test_schema_differences_of_an_empty_table_are_found(spark):
     expected = StructType([StructField("id", LongType()), StructField("n", LongType())])
     found = c.schema_diff(spark.createDataFrame([], "id long, extra long"), expected).collect()
     assert len(found) == 2
+
+
+@pytest.mark.parametrize(
+    "a,b,want",
+    [
+        ("int", "bigint", "bigint"),
+        ("tinyint", "smallint", "smallint"),
+        ("int", "double", "double"),
+        ("bigint", "double", None),
+        ("int", "float", None),
+        ("smallint", "float", "float"),
+        ("float", "double", "double"),
+        ("int", "decimal(5,2)", "decimal(12,2)"),
+        ("decimal(10,0)", "decimal(5,4)", "decimal(14,4)"),
+        ("decimal(38,0)", "decimal(5,4)", None),
+        ("bigint", "decimal(38,30)", None),
+        ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("date", "timestamp", None),
+        ("string", "int", None),
+        ("void", "string", "string"),
+        ("array<int>", "array<bigint>", "array<bigint>"),
+        ("map<string,int>", "map<string,double>", "map<string,double>"),
+        ("struct<a:int,b:string>", "struct<b:string,a:bigint,c:date>", "struct<a:bigint,b:string,c:date>"),
+        ("struct<a:int>", "struct<a:string>", None),
+    ],
+)
+def test_the_widest_type_loses_nothing_either_way(spark, a, b, want):
+    a, b = (incoming(f"x {k}")["x"].dataType for k in (a, b))
+    kind = c.widest(a, b)
+    assert (kind and kind.simpleString()) == want
+    if not isinstance(a, StructType):
+        assert c.widest(b, a) == kind
+
+
+def test_reasons_name_each_column(spark):
+    want = incoming("id bigint, d struct<x:int,y:array<struct<z:int>>>, gone string")
+    have = incoming("id int, d struct<x:string,y:array<struct<z:bigint,new:int>>>")
+    assert c.type_changes(want, have) == [
+        ("id", "widened", "bigint", "int", "bigint"),
+        ("d.x", "type_mismatch", "int", "string", None),
+        ("d.y.element.z", "widened", "int", "bigint", "bigint"),
+        ("d.y.element.new", "unexpected", None, "int", None),
+        ("gone", "missing", "string", None, None),
+    ]
+    assert c.evolution_reasons(want, have) == [("d.x", "type_changed"), ("d.y.element.new", "new_columns"), ("gone", "missing_columns")]
+    assert c.evolution_reasons(incoming("n int"), incoming("n bigint")) == []
+
+
+def test_values_a_narrow_type_would_lose_are_counted(spark):
+    df = spark.createDataFrame([(1, 1.5), (2**40, 2.0), (None, None), (-(2**31), 1e300)], "n bigint, x double")
+    got = rows(c.widening_diff(df, incoming("n int, x int")), "column")
+    assert got == [("n", "widened", "int", "bigint", "bigint", 1), ("x", "widened", "int", "double", "double", 2)]
+    assert c.widening_diff(df, df.schema).count() == 0
+    assert [r["lost"] for r in c.widening_diff(df.limit(0), incoming("n int, x int")).collect()] == [0, 0]
+
+
+def test_evolved_rows_keep_their_values(spark):
+    current = spark.createDataFrame([(1, (2, [3], {"k": 4})), (2, None)], "id int, d struct<a:int,l:array<int>,m:map<string,int>>")
+    later = spark.createDataFrame([((2**40, [2**41], {"k": 0.5}, "new"), 2**42)], "d struct<a:bigint,l:array<bigint>,m:map<string,double>,e:string>, id bigint")
+    both = c.evolve_widening(current, later, allow_new_columns=True).orderBy("id")
+    assert both.schema["d"].dataType.simpleString() == "struct<a:bigint,l:array<bigint>,m:map<string,double>,e:string>"
+    got = [(r["id"], r["d"] and tuple(r["d"])) for r in both.collect()]
+    assert got == [(1, (2, [3], {"k": 4.0}, None)), (2, None), (2**42, (2**40, [2**41], {"k": 0.5}, "new"))]
+    with pytest.raises(c.ContractError, match="d.e: new_columns"):
+        c.evolve_widening(current, later)
+    with pytest.raises(c.ContractError, match="d: missing_columns"):
+        c.evolve_widening(current, later.drop("d"), allow_new_columns=True)
