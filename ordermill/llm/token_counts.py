@@ -88,18 +88,24 @@ def token_counts(
     return docs.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
 
-def through_cache(cache: dict, units: list, encode: Callable, most: int = 250_000) -> list:
+def through_cache(cache: dict, units: list, encode: Callable, most: int = 250_000, size: int = 32 << 20) -> list:
     """What ``encode`` gives for each unit, asking it for units that the cache lacks.
 
-    The cache has two generations of ``most`` units; when the young one is full
-    it becomes the old one.  Nothing but time depends on what it holds.
+    The cache has two generations; when the young one has ``most`` units or their
+    bytes reach ``size``, it becomes the old one.  A unit of more than a
+    hundredth of ``size`` is not cached.  Nothing but time depends on what it holds.
     """
     young, old = cache.setdefault("young", {}), cache.get("old", {})
     out = [old.get(u) if (x := young.get(u)) is None else x for u in units]
     missing = [i for i, x in enumerate(out) if x is None]
     for i, x in zip(missing, encode([units[i] for i in missing]), strict=True):
         out[i] = x
-    young.update(zip(units, out, strict=True))
-    if len(young) > most:
-        cache["old"], cache["young"] = young, {}
+    kept = cache.get("bytes", 0)
+    for u, x in zip(units, out, strict=True):
+        if len(u) <= size // 100 and u not in young:
+            young[u] = x
+            kept += len(u)
+    cache["bytes"] = kept
+    if len(young) > most or kept > size:
+        cache["old"], cache["young"], cache["bytes"] = young, {}, 0
     return out
