@@ -212,6 +212,8 @@ def fit_toxicity(
     known = known.distinct()
     chosen = labelled_sample(known, "label", "doc_id", per_label)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = one_text(texts.filter("doc_id is not null"), "doc_id").join(known, "doc_id").select("text", "label")
+    # Texts without a label go first: only labelled ones are grouped by id.
+    labelled = texts.join(known.select("doc_id").distinct(), "doc_id", "left_semi")
+    rows = one_text(labelled, "doc_id").join(known, "doc_id").select("text", "label")
     sample = one_text(texts.join(F.broadcast(chosen), "doc_id"), "doc_id", "label").select("text", "label")
     return train(rows, stored(sample, "toxic-sample"), keep)
