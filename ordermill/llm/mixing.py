@@ -2,11 +2,10 @@
 
 A classifier trained on a labelled table gives every document a probability for
 each domain.  Rates per document (how often to use it) are fitted so that the
-expected tokens of each domain match its target: projected gradient descent on
-the squared differences, in the metric of the domains' own overlap, with rates
-of at least zero.  The gradient of a document needs its probabilities and one
-number per domain, so a step is one aggregate over the documents, and the rates
-are an expression of the steps so far.
+expected tokens of each domain match its target: least squares, by projected gradient descent with momentum from a rate of one, and
+after each step rates below zero become zero.  The gradient of a document needs
+its probabilities and one number per domain, so a step is one pass over a narrow
+table, and rates follow from the steps so far, whatever the number of domains.
 """
 
 from __future__ import annotations
@@ -70,97 +69,161 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc
     return Classifier(domains, weight, bias)
 
 
+def probabilities(texts: pa.Array, model: Classifier) -> np.ndarray:
+    """The probability of each domain, a row for each text."""
+    parts = [np.zeros((0, len(model.domains)))]
+    for at in range(0, len(texts), 1024):
+        logits = (vectors(texts.slice(at, 1024)) @ model.weight + model.bias).astype(np.float64)
+        p = np.exp(logits - logits.max(axis=1, keepdims=True, initial=0))
+        parts.append(p / np.maximum(p.sum(axis=1, keepdims=True), 1e-300))
+    return np.concatenate(parts)
+
+
+def schema_of(docs: DataFrame, *more: str) -> str:
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), *more])
+
+
 def with_membership(docs: DataFrame, model: Classifier, text: str, tokens: str, membership: str) -> DataFrame:
     """All columns of ``docs``, its number of words, and its probability for each domain (an array)."""
     names = docs.columns
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        domains, weight, bias = held.value
+        model = held.value
         for batch in buffers.slices(batches, text, buffers.CHUNK // 4):
-            column, parts = batch.column(text), []
-            for at in range(0, batch.num_rows, 1024):
-                logits = (vectors(column.slice(at, 1024)) @ weight + bias).astype(np.float64)
-                p = np.exp(logits - logits.max(axis=1, keepdims=True, initial=0))
-                parts.append((p / np.maximum(p.sum(axis=1, keepdims=True), 1e-300)).ravel())
-            flat = np.concatenate(parts)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(domains)), pa.array(flat))
+            column = batch.column(text)
+            flat = probabilities(column, model).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(model.domains)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(buffers.words(column).first)), lists], names=[*names, tokens, membership])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(apply, f"{kinds}, `{tokens}` long, `{membership}` array<double>")
+    return docs.mapInArrow(apply, schema_of(docs, f"`{tokens}` long", f"`{membership}` array<double>"))
+
+
+class Step(NamedTuple):
+    """A step against the gradient: a number for each domain, and the share of the last move that goes on."""
+
+    move: np.ndarray
+    momentum: float
+
+
+def rates_after(steps: list[Step], p: np.ndarray) -> np.ndarray:
+    """Rates of documents with these probabilities: from one, and never below zero after a step."""
+    before = now = np.ones(len(p))
+    for move, momentum in steps:
+        before, now = now, np.maximum(0.0, now + momentum * (now - before) - p @ move)
+    return now
+
 
+def with_rate(table: DataFrame, steps: list[Step], domains: int, membership: str, into: str) -> DataFrame:
+    """All rows and columns, and the rate of each row after ``steps``."""
+    names = table.columns
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(membership).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, domains)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates_after(steps, p))], names=[*names, into])
+
+    return table.mapInArrow(apply, schema_of(table, f"`{into}` double"))
 
-def rate(steps: list[np.ndarray], membership: str) -> Column:
-    """The rate after these steps, from one, never below zero."""
-    out = F.lit(1.0)
-    for step in steps:
-        move = sum((F.lit(float(s)) * F.col(membership)[d] for d, s in enumerate(step)), F.lit(0.0))
-        out = F.greatest(F.lit(0.0), out - move)
-    return out
 
+def summed(table: DataFrame, domains: int, steps: list[Step] | None) -> np.ndarray:
+    """Expected tokens of each domain at the rates after ``steps``; without steps, of each two domains together."""
 
-def domain_totals(table: DataFrame, n: int, weight: Column) -> np.ndarray:
-    """Expected tokens of each domain under these rates."""
-    sums = [F.sum(weight * F.col("n_tokens") * F.col("membership")[d]).alias(f"d{d}") for d in range(n)]
-    return np.array([x or 0.0 for x in table.agg(*sums).first()], dtype=np.float64) if n else np.zeros(0)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(domains if steps is not None else domains * domains)
+        for batch in batches:
+            p = batch.column("membership").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, domains)
+            tokens = batch.column("n_tokens").to_numpy().astype(np.float64)
+            total += (p.T * tokens @ p).ravel() if steps is None else (tokens * rates_after(steps, p)) @ p
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "total"])
 
+    rows = table.select("n_tokens", "membership").mapInArrow(add, "place long, total double")
+    found = {r["place"]: r["total"] for r in rows.groupBy("place").agg(F.sum("total").alias("total")).collect()}
+    return np.array([found.get(i, 0.0) for i in range(domains if steps is not None else domains * domains)])
 
-def fit_steps(table: DataFrame, targets: np.ndarray, tolerance: float = 1e-6, rounds: int = 25) -> list[np.ndarray]:
+
+def fit_steps(table: DataFrame, targets: np.ndarray, tolerance: float = 1e-4, rounds: int = 200) -> tuple[list[Step], float]:
     """Projected gradient steps that bring the domain totals of ``table`` (``n_tokens, membership``) to ``targets``.
 
-    Ends when no total is further off than ``tolerance`` of all tokens, or after
-    ``rounds`` where the targets cannot be reached.
+    Minimises the squares of ``total - target``, each over the domain's overlap
+    with itself (which makes domains of all sizes move alike), over rates of at
+    least zero.  Ends when no total is further off than ``tolerance`` of all
+    targets, when the objective has stopped to fall, or after ``rounds``.
+    Returns the steps and the largest distance left, as a share of all targets.
     """
-    n = len(targets)
-    both = [F.sum(F.col("n_tokens") * F.col("membership")[a] * F.col("membership")[b]) for a in range(n) for b in range(n)]
-    overlap = np.array([x or 0.0 for x in table.agg(*both).first()]).reshape(n, n) if n else np.zeros((0, 0))
-    inverse, steps = np.linalg.pinv(overlap), []
-    for _ in range(rounds if n else 0):
-        off = domain_totals(table, n, rate(steps, "membership")) - targets
-        if np.abs(off).max() <= tolerance * max(targets.sum(), 1.0):
+    n, budget = len(targets), float(targets.sum())
+    if not n or budget <= 0:
+        return [], 0.0
+    overlap = summed(table, n, None).reshape(n, n)
+    size = np.diag(overlap)
+    weight = np.divide(1.0, size, out=np.zeros(n), where=size > 0)
+    # The largest step that cannot overshoot.
+    scale = max(np.linalg.eigvalsh(np.sqrt(weight)[:, None] * overlap * np.sqrt(weight)).max(), 1e-300)
+    steps: list[Step] = []
+    before = now = summed(table, n, steps)
+    best, theta, stalled = np.inf, 1.0, 0
+    for _ in range(rounds):
+        off = now - targets
+        value = float((weight * off**2).sum())
+        if np.abs(off).max() <= tolerance * budget:
+            break
+        stalled = stalled + 1 if value > best * (1 - 1e-6) else 0
+        if stalled >= 12:
             break
-        steps.append(inverse @ off)
-    return steps
+        # Where the objective rose, momentum starts anew.
+        theta, momentum = (1.0, 0.0) if value > best else ((1 + np.sqrt(1 + 4 * theta * theta)) / 2, (theta - 1) / ((1 + np.sqrt(1 + 4 * theta * theta)) / 2))
+        best = min(best, value)
+        ahead = now + momentum * (now - before)
+        steps.append(Step(weight * (ahead - targets) / scale, momentum))
+        before, now = now, summed(table, n, steps)
+    return steps, float(np.abs(now - targets).max() / budget)
 
 
 def flattened(totals: np.ndarray, power: float) -> np.ndarray:
-    """Targets with shares to this power, so large that no domain shrinks."""
+    """The shares of these totals to this power, adding up to one."""
     shares = np.where(totals > 0, (totals / max(totals.sum(), 1.0)) ** power, 0.0)
-    shares /= max(shares.sum(), 1e-300)
-    grow = np.divide(totals, shares, out=np.zeros_like(totals), where=shares > 0)
-    return shares * grow.max(initial=0.0)
+    return shares / max(shares.sum(), 1e-300)
 
 
 class Mixture(NamedTuple):
-    """The classifier, the steps of the rates, and documents with ``n_tokens, membership``, stored."""
+    """The classifier, the steps of the rates, documents with ``n_tokens, membership`` (stored), and how far the targets are missed at most."""
 
     model: Classifier
-    steps: list[np.ndarray]
+    steps: list[Step]
     table: DataFrame
+    off: float
 
 
 def fit_mixture(
-    docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, power: float = 0.7, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labelled: DataFrame,
+    weights: dict[str, float] | None = None,
+    power: float = 0.7,
+    tokens: float | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> Mixture:
-    """Fit rates of all documents to target ``weights`` of the domains.
-
-    Without weights the targets are the domains' shares to ``power``, normalised.
-    The target of all tokens is the least that shrinks no domain.  A null or
-    empty text has no tokens and any rate; equal texts get equal rates.  Without
-    labelled rows there is no domain, and all rates are one.
+    """Fit rates of all documents so that each domain has its share of ``tokens`` expected words.
+
+    ``weights`` are the shares wanted (a domain without one is to vanish); without
+    them they are the domains' own shares to ``power``, so that frequent domains
+    shrink and rare ones grow.  ``tokens`` is as many words as there are.
+    Targets that no rates of at least zero reach are met as closely as can be;
+    ``off`` says how far the worst total stays from its target, as a share of
+    all tokens.  A null or empty text has no tokens and any rate; equal texts get
+    equal rates.  Without labelled rows there is no domain, and all rates are one.
     """
     model = fit_domains(docs, labelled, doc_id=doc_id, text=text)
+    unknown = set(weights or {}) - set(model.domains)
+    if unknown and model.domains:
+        raise ValueError(f"no labelled text of the domains {sorted(unknown)}")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     table = stored(with_membership(rows, model, "text", "n_tokens", "membership").drop("text"), "membership")
-    totals = domain_totals(table, len(model.domains), F.lit(1.0))
-    if weights is None:
-        targets = flattened(totals, power)
-    else:
-        asked = np.array([weights.get(d, 0.0) for d in model.domains])
-        grow = np.divide(totals, asked, out=np.zeros_like(totals), where=asked > 0)
-        targets = asked * grow.max(initial=0.0)
-    return Mixture(model, fit_steps(table, targets), table)
+    totals = summed(table, len(model.domains), [])
+    shares = flattened(totals, power) if weights is None else np.array([weights.get(d, 0.0) for d in model.domains])
+    shares = shares / max(shares.sum(), 1e-300)
+    steps, off = fit_steps(table, shares * (totals.sum() if tokens is None else tokens))
+    return Mixture(model, steps, table, off)
 
 
 def copies(weight: Column, key: Column) -> Column:
@@ -171,9 +234,15 @@ def copies(weight: Column, key: Column) -> Column:
 
 def mixed_documents(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as its rate says (perhaps not at all), with the same columns."""
-    tokens, membership, uses = (fresh_name(docs, c) for c in ("tokens", "membership", "uses"))
-    taken = with_membership(docs, mixture.model, text, tokens, membership)
-    times = copies(rate(mixture.steps, f"`{membership}`"), F.col(doc_id))
-    used = taken.withColumn(uses, times).filter(F.col(uses) > 0)
+    rate, uses = fresh_name(docs, "rate"), fresh_name(docs, "uses")
+    model, steps, names = docs.sparkSession.sparkContext.broadcast(mixture.model), mixture.steps, docs.columns
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in buffers.slices(batches, text, buffers.CHUNK // 4):
+            rates = rates_after(steps, probabilities(batch.column(text), model.value))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], names=[*names, rate])
+
+    rated = docs.mapInArrow(apply, schema_of(docs, f"`{rate}` double"))
+    used = rated.withColumn(uses, copies(F.col(rate), F.col(doc_id))).filter(F.col(uses) > 0)
     given = [F.col(f"`{c}`") for c in docs.columns]
     return used.select(*given, F.explode(F.sequence(F.lit(1), F.col(uses)))).select(*given)

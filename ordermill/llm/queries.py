@@ -87,10 +87,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
     labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(labels, "doc_id", "left_semi")
     mixture = mixing.fit_mixture(docs, labelled)
-    rated = mixture.table.withColumn("rate", mixing.rate(mixture.steps, "membership"))
+    rated = mixing.with_rate(mixture.table, mixture.steps, len(mixture.model.domains), "membership", "rate")
     rated = rated.withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
     names = F.array(*[F.lit(d) for d in mixture.model.domains]).cast("array<string>")
-    return rated.select("doc_id", "n_tokens", names.alias("domains"), "membership", "rate", "copies")
+    return rated.select("doc_id", "n_tokens", names.alias("domains"), "membership", "rate", "copies", F.lit(mixture.off).alias("off_target"))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
