@@ -258,16 +258,77 @@ def test_base_scores_equal_their_formula(spark, table):
     assert all(r.score < 0 for r in got)
 
 
-def test_mixture_meets_its_targets(spark, docs, table):
+def plain_least_squares(a, t, w, rounds=40_000):
+    """The least weighted squares of ``a.T @ rates - t`` over nonnegative rates, by cyclic coordinate descent."""
+    a = a[a.sum(axis=1) > 0]
+    rate, off = np.ones(len(a)), a.sum(axis=0) - t
+    for i in range(rounds):
+        k = i % len(a)
+        new = max(0.0, rate[k] - (w * off) @ a[k] / ((w * a[k]) @ a[k]))
+        off += (new - rate[k]) * a[k]
+        rate[k] = new
+    return float((w * off**2).sum())
+
+
+@pytest.mark.parametrize(
+    "asked",
+    [{"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}, {"de": 0.97, "en": 0.01, "fr": 0.01, "es": 0.01}, {"fr": 1.0}, None],
+    ids=["spread", "one large", "others vanish", "flattened"],
+)
+def test_mixture_meets_its_targets(spark, docs, asked):
+    """Domains shrink and grow within the corpus's own tokens; the result is as good as a plain nonnegative solver's."""
     labelled = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "lang as domain")
-    asked = {"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}
     mixture = mixing.fit_mixture(docs, labelled, weights=asked)
-    rows = mixture.table.withColumn("rate", mixing.rate(mixture.steps, "membership")).collect()
-    totals = np.sum([r.rate * r.n_tokens * np.array(r.membership) for r in rows], axis=0)
-    assert np.allclose(totals / totals.sum(), [asked[d] for d in mixture.model.domains], atol=1e-4)
-    assert all(r.rate >= 0 for r in rows)
+    rows = mixing.with_rate(mixture.table, mixture.steps, len(mixture.model.domains), "membership", "rate").collect()
+    tokens = np.array([r.n_tokens for r in rows], dtype=float)
+    a = tokens[:, None] * np.array([r.membership for r in rows])
+    rate = np.array([r.rate for r in rows])
+    shares = np.array([asked.get(d, 0.0) for d in mixture.model.domains]) if asked else mixing.flattened(a.sum(axis=0), 0.7)
+    targets, totals = shares * tokens.sum(), rate @ a
+    assert (rate >= 0).all() and mixture.steps
+    assert mixture.off == pytest.approx(np.abs(totals - targets).max() / tokens.sum(), abs=1e-9)
+    weight = 1 / (a * np.array([r.membership for r in rows])).sum(axis=0)
+    least = plain_least_squares(a, targets, weight)
+    at_first = (weight * (a.sum(axis=0) - targets) ** 2).sum()
+    assert (weight * (totals - targets) ** 2).sum() - least <= 1e-4 * at_first
+    shrunk = targets < a.sum(axis=0) * 0.9
+    assert shrunk.any() and rate.min() < 0.9
+    if asked and len(asked) == 1:
+        assert (rate == 0).any() and mixture.off < 0.05
+    else:
+        assert mixture.off <= 1e-4
+
+
+def test_mixtures_of_nothing_and_of_unknown_domains(spark, docs, table):
+    labelled = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "lang as domain")
     empty = mixing.fit_mixture(table(EDGES), labelled.limit(0))
     assert mixing.mixed_documents(table(EDGES), empty).count() == len(EDGES)
+    none = mixing.fit_mixture(docs.limit(0), labelled)
+    assert none.steps == [] and none.off == 0 and mixing.mixed_documents(docs.limit(0), none).count() == 0
+    with pytest.raises(ValueError, match="klingon"):
+        mixing.fit_mixture(docs, labelled, weights={"klingon": 1.0})
+
+
+def test_equal_texts_get_equal_rates(spark, docs):
+    labelled = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "lang as domain")
+    twice = docs.unionByName(docs.selectExpr("doc_id + 100000 AS doc_id", "text"))
+    mixture = mixing.fit_mixture(twice, labelled)
+    rates = {r.doc_id: r.rate for r in mixing.with_rate(mixture.table, mixture.steps, len(mixture.model.domains), "membership", "rate").collect()}
+    assert all(rates[i] == rates[i + 100000] for i in rates if i < 100000)
+
+
+def test_the_cache_is_bounded_in_units_and_bytes():
+    cache, calls = {}, []
+
+    def encode(units):
+        calls.extend(units)
+        return [len(u) for u in units]
+
+    for i in range(50):
+        units = [b"%d-%d" % (i, k) for k in range(20)] + [b"x" * 2000]
+        assert token_counts.through_cache(cache, units, encode, most=100, size=1500) == [len(u) for u in units]
+        assert len(cache["young"]) <= 121 and cache["bytes"] <= 1500 and b"x" * 2000 not in cache["young"]
+    assert len(calls) >= 50 * 21
 
 
 def test_pipeline_stages_return_documents(spark, small):
