@@ -73,8 +73,11 @@ SAME = [(c, t, "user", f"turn {t}") for c in range(60) for t in range(12)]
 LONG = [(5, t, "u", str(t)) for t in range(150)] + [(c, t, "u", str(t)) for c in (6, 7) for t in range(120)]
 
 
-@pytest.mark.parametrize("rows", [EDGES, SAME, LONG, made(300, 1), made(2000, 2), made(900, 3, 300), []], ids=["edges", "same", "long", "few", "dense", "wide", "none"])
-@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize(
+    "rows, small",
+    [(EDGES, False), ([], False), (EDGES + SAME + LONG, True), (made(2000, 2), True), (made(900, 3, 300), False)],
+    ids=["edges", "none", "copies and long ones", "dense", "wide"],
+)
 def test_nodes_equal_a_plain_trie(spark, rows, small, monkeypatch):
     """Also with a tiny top, tiny shards and pieces, and long conversations cut into stretches."""
     if small:
