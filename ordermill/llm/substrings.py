@@ -29,7 +29,7 @@ from ordermill.llm import buffers
 from ordermill.llm.quality_rules import fresh_name
 
 #: Words in a minimiser; packed bytes of a bucket, and of what is folded at once.
-MINIMISER, BUCKET, FOLD = 3, 6 << 20, 8 << 20
+MINIMISER, BUCKET, FOLD = 3, 6 << 20, 5 << 20
 
 #: Unpacked bytes of different windows from which a bucket is dealt by whole windows.
 HEAVY = 16 << 20
