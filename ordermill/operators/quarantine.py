@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.sources.contracts import ORDER_STATUSES
 
+# The flags of the rules, in their order, and the reason that each gives.
 FLAGS = (
     "invalid_order_id",
     "invalid_customer_id",
@@ -16,6 +17,14 @@ FLAGS = (
     "invalid_purchase_timestamp",
     "invalid_delivery_date",
 )
+REASONS = {
+    "invalid_order_id": "NULL_ORDER_ID",
+    "invalid_customer_id": "NULL_CUSTOMER_ID",
+    "invalid_status": "INVALID_ORDER_STATUS",
+    "invalid_purchase_timestamp": "NULL_PURCHASE_TIMESTAMP",
+    "invalid_delivery_date": "DELIVERY_BEFORE_PURCHASE",
+}
+MISSING_STATUS = "NULL_ORDER_STATUS"
 
 
 def flag_orders(feed: DataFrame) -> DataFrame:
@@ -27,26 +36,16 @@ def flag_orders(feed: DataFrame) -> DataFrame:
     status = F.col("order_status")
     unknown = F.coalesce(~status.isin(ORDER_STATUSES), F.lit(True))
     early = F.coalesce(F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp"), F.lit(False))
-    conditions = dict(
-        zip(
-            FLAGS,
-            (
-                F.col("order_id").isNull(),
-                F.col("customer_id").isNull(),
-                unknown,
-                F.col("order_purchase_timestamp").isNull(),
-                early,
-            ),
-        )
-    )
-    reasons = F.concat_ws(
-        ", ",
-        F.when(F.col("invalid_order_id"), "NULL_ORDER_ID"),
-        F.when(F.col("invalid_customer_id"), "NULL_CUSTOMER_ID"),
-        F.when(F.col("invalid_status"), F.when(status.isNull(), "NULL_ORDER_STATUS").otherwise("INVALID_ORDER_STATUS")),
-        F.when(F.col("invalid_purchase_timestamp"), "NULL_PURCHASE_TIMESTAMP"),
-        F.when(F.col("invalid_delivery_date"), "DELIVERY_BEFORE_PURCHASE"),
-    )
+    conditions = {
+        "invalid_order_id": F.col("order_id").isNull(),
+        "invalid_customer_id": F.col("customer_id").isNull(),
+        "invalid_status": unknown,
+        "invalid_purchase_timestamp": F.col("order_purchase_timestamp").isNull(),
+        "invalid_delivery_date": early,
+    }
+    texts = {flag: F.lit(text) for flag, text in REASONS.items()}
+    texts["invalid_status"] = F.when(status.isNull(), MISSING_STATUS).otherwise(REASONS["invalid_status"])
+    reasons = F.concat_ws(", ", *[F.when(F.col(flag), texts[flag]) for flag in FLAGS])
     return feed.withColumns(conditions).withColumn("rejection_reason", reasons)
 
 

@@ -17,6 +17,7 @@ from ordermill.sources.quoted import quoted_records
 CORRUPT = "_corrupt_record"
 
 _local_scratch: str | None = None
+_scratch: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -24,6 +25,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a temporary folder of this machine; on
     a cluster the setting is required, since executors must see the same files.
+    ``remove_scratch`` removes what was written there.
     """
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,7 +35,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="ordermill-")
         base = _local_scratch
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this process.
+
+    Results read from them lazily, so call it when the results are consumed.
+    """
+    while _scratch:
+        remove_path(spark, _scratch.pop())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -163,3 +163,13 @@ def test_strict_job_raises(layers, spark, tmp_path):
     raw, schemas, _ = layers
     with pytest.raises(ValidationError, match="average_response_hours"):
         medallion.run_medallion(spark, raw, str(tmp_path), schemas)
+
+
+def test_scratch_is_removed_when_asked(spark, monkeypatch):
+    monkeypatch.setattr(io, "_scratch", [])
+    table = io.materialize(spark.range(10), "some")
+    path = io._scratch[0]
+    assert table.count() == 10 and io.path_exists(spark, path)
+    never_written = io.scratch_path(spark, "never")
+    io.remove_scratch(spark)
+    assert not io.path_exists(spark, path) and not io.path_exists(spark, never_written) and io._scratch == []
