@@ -29,7 +29,7 @@ from ordermill.llm import buffers
 from ordermill.llm.quality_rules import fresh_name
 
 #: Words in a minimiser; packed bytes of a bucket, and of what is folded at once.
-MINIMISER, BUCKET, FOLD = 3, 6 << 20, 5 << 20
+MINIMISER, BUCKET, FOLD = 3, 6 << 20, 8 << 20
 
 #: Unpacked bytes of different windows from which a bucket is dealt by whole windows.
 HEAVY = 16 << 20
@@ -236,8 +236,11 @@ def super_k_mers(docs: DataFrame, size: int, buckets: int, heavy: np.ndarray, ex
     return docs.mapInArrow(split, _ROW)
 
 
-def later_spans(rows: DataFrame, size: int) -> DataFrame:
-    """``doc, variant, low, high`` of all windows that start earlier elsewhere; a partition has its buckets in order."""
+def later_spans(rows: DataFrame, size: int, piece: int) -> DataFrame:
+    """``doc, variant, low, high`` of all windows that start earlier elsewhere; a partition has its buckets in order.
+
+    ``piece`` is the packed bytes that are folded at once.
+    """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, waiting, held = None, [], 0
@@ -269,7 +272,7 @@ def later_spans(rows: DataFrame, size: int) -> DataFrame:
                 waiting.append((blob, n))
                 held += n
                 # What stays is read again, so the next fold waits for as much anew.
-                if held > FOLD + 2 * kept:
+                if held > piece + 2 * kept:
                     yield from settle(True)
                     kept = held
         if waiting:
@@ -278,11 +281,12 @@ def later_spans(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(fold, "doc long, variant long, low long, high long")
 
 
-def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text", into: str = "_") -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text", into: str = "_", fold: int | None = None) -> DataFrame:
     """All rows and columns of ``docs``, with ``_n_words``, ``_n_removed`` and ``_kept`` (kept words, one space between).
 
     ``into`` is what the three new names begin with; a name that ``docs`` has
-    already raises, and its other columns may have any name.
+    already raises, and its other columns may have any name.  ``fold`` is the
+    bytes of windows folded at once (``FOLD``): fewer take less memory and more time.
 
     A window is ``size`` consecutive words of one document.  Words covered by a
     window whose words also start earlier (smaller id, or same document and
@@ -307,7 +311,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     extra = max(1, -(-4 * alone // (3 * BUCKET)))
     parts += -(-alone // (64 << 20))
     rows = super_k_mers(sources, size, buckets, heavy, extra).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    found = later_spans(rows, size).groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    found = later_spans(rows, size, FOLD if fold is None else fold).groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     names = docs.columns
     doc, version, spans, at, which = (fresh_name(docs, c) for c in ("doc", "variant", "spans", "found_doc", "found_variant"))
     keyed = docs.withColumns({doc: key, version: variant})
