@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm import mixing, near_dedup, quality_rules, queries as operators, substrings
+from ordermill.llm import buffers, mixing, near_dedup, quality_rules, queries as operators, substrings
 from ordermill.llm.quality_rules import fresh_name
 from ordermill.llm.storage import stored
 
@@ -45,8 +45,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     while any(c.lower().startswith(into) for c in docs.columns):
         into += "_"
     words, removed, kept = (F.col(f"{into}{c}") for c in ("n_words", "n_removed", "kept"))
-    # Executors still hold memory of the stages before, so windows are folded in smaller pieces.
-    found = substrings.remove_repeats(docs, into=into, fold=5 << 20).filter((removed == 0) | (removed < words))
+    # Executors still hold memory of the stages before, so texts are cut and windows folded in smaller pieces.
+    found = substrings.remove_repeats(docs, into=into, fold=5 << 20, chunk=buffers.CHUNK // 2).filter((removed == 0) | (removed < words))
     text = F.when(removed > 0, kept).otherwise(F.col("text"))
     given = [F.col(f"`{c}`") for c in docs.columns]
     return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*given)

@@ -24,6 +24,12 @@ from ordermill.llm.language import BITS, vectors
 from ordermill.llm.quality_rules import fresh_name
 from ordermill.llm.storage import stored
 
+#: Bytes of text that are classified at once: their n-grams take some 130 times as much.
+PIECE = buffers.CHUNK // 16
+
+#: Rows of a matrix product.  Products of other sizes add up in another order, so all have this one.
+ROWS = 128
+
 
 class Classifier(NamedTuple):
     """Softmax regression over hashed character n-grams."""
@@ -33,6 +39,13 @@ class Classifier(NamedTuple):
     bias: np.ndarray
 
 
+def embedded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``domain`` and the packed vector of each ``text``."""
+    for batch in buffers.slices(batches, limit=PIECE):
+        packed = [pa.compress(v.astype("<f2").tobytes(), codec="zstd", asbytes=True) for v in vectors(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array(packed, pa.binary())], names=["domain", "vector"])
+
+
 def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc_id: str = "doc_id", text: str = "text") -> Classifier:
     """Train on the texts of ``labelled`` (``doc_id, domain``), at most ``per_domain`` of each domain.
 
@@ -43,14 +56,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc
     known = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()).distinct()
     chosen = labelled_sample(known, "domain", "doc_id", per_domain)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
-
-    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in buffers.slices(batches):
-            packed = [pa.compress(v.astype("<f2").tobytes(), codec="zstd", asbytes=True) for v in vectors(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array(packed, pa.binary())], names=["domain", "vector"])
-
     sample = one_text(texts.join(F.broadcast(chosen), "doc_id"), "doc_id", "domain").select("domain", "text")
-    found = sample.mapInArrow(embed, "domain string, vector binary").collect()
+    found = sample.mapInArrow(embedded, "domain string, vector binary").collect()
     found.sort(key=lambda r: (r["domain"], r["vector"]))
     domains = sorted({r["domain"] for r in found})
     if not found:
@@ -70,10 +77,12 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = 300, doc
 
 
 def probabilities(texts: pa.Array, model: Classifier) -> np.ndarray:
-    """The probability of each domain, a row for each text."""
+    """The probability of each domain, a row for each text; equal texts get equal rows, whatever texts are beside them."""
     parts = [np.zeros((0, len(model.domains)))]
-    for at in range(0, len(texts), 1024):
-        logits = (vectors(texts.slice(at, 1024)) @ model.weight + model.bias).astype(np.float64)
+    for at in range(0, len(texts), ROWS):
+        x = vectors(texts.slice(at, ROWS))
+        filled = np.concatenate((x, np.zeros((ROWS - len(x), x.shape[1]), np.float32)))
+        logits = ((filled @ model.weight)[: len(x)] + model.bias).astype(np.float64)
         p = np.exp(logits - logits.max(axis=1, keepdims=True, initial=0))
         parts.append(p / np.maximum(p.sum(axis=1, keepdims=True), 1e-300))
     return np.concatenate(parts)
@@ -90,7 +99,7 @@ def with_membership(docs: DataFrame, model: Classifier, text: str, tokens: str,
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        for batch in buffers.slices(batches, text, buffers.CHUNK // 4):
+        for batch in buffers.slices(batches, text, PIECE):
             column = batch.column(text)
             flat = probabilities(column, model).ravel()
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(model.domains)), pa.array(flat))
@@ -238,7 +247,7 @@ def mixed_documents(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", t
     model, steps, names = docs.sparkSession.sparkContext.broadcast(mixture.model), mixture.steps, docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in buffers.slices(batches, text, buffers.CHUNK // 4):
+        for batch in buffers.slices(batches, text, PIECE):
             rates = rates_after(steps, probabilities(batch.column(text), model.value))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], names=[*names, rate])
 

@@ -155,7 +155,7 @@ def least_keys(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return sliding_min(buffers.window_keys(hashes, MINIMISER), size - MINIMISER + 1)[starts]
 
 
-def heavy_buckets(docs: DataFrame, size: int, buckets: int, total: int) -> tuple[np.ndarray, int]:
+def heavy_buckets(docs: DataFrame, size: int, buckets: int, total: int, chunk: int = buffers.CHUNK) -> tuple[np.ndarray, int]:
     """Buckets with more than ``HEAVY`` bytes, and the bytes of their windows when each is packed alone.
 
     Windows that a chunk of text repeats count once, as only one travels.  A
@@ -165,7 +165,7 @@ def heavy_buckets(docs: DataFrame, size: int, buckets: int, total: int) -> tuple
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in buffers.slices(batches):
+        for batch in buffers.slices(batches, limit=chunk):
             w = buffers.words(batch.column("text"))
             starts = buffers.inside(w.first, size)
             if not len(starts):
@@ -197,14 +197,14 @@ def heavy_buckets(docs: DataFrame, size: int, buckets: int, total: int) -> tuple
     return np.array(sorted(r["bucket"] for r in found), dtype=np.int64), sum(r["alone"] for r in found)
 
 
-def super_k_mers(docs: DataFrame, size: int, buckets: int, heavy: np.ndarray, extra: int) -> DataFrame:
+def super_k_mers(docs: DataFrame, size: int, buckets: int, heavy: np.ndarray, extra: int, chunk: int = buffers.CHUNK) -> DataFrame:
     """Packed strings by bucket, and the spans that a task finds by itself; ``docs`` has doc, variant, text.
 
     Windows of the buckets in ``heavy`` go to one of ``extra`` more buckets, by all their words.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in buffers.slices(batches):
+        for batch in buffers.slices(batches, limit=chunk):
             runs = Runs(batch.column("doc").to_numpy(), batch.column("variant").to_numpy(), np.zeros(batch.num_rows, np.int64), buffers.words(batch.column("text")))
             runs, starts, first, code, distinct = first_places(runs, size)
             if not len(starts):
@@ -281,12 +281,15 @@ def later_spans(rows: DataFrame, size: int, piece: int) -> DataFrame:
     return rows.mapInArrow(fold, "doc long, variant long, low long, high long")
 
 
-def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text", into: str = "_", fold: int | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text: str = "text", into: str = "_", fold: int | None = None, chunk: int = buffers.CHUNK
+) -> DataFrame:
     """All rows and columns of ``docs``, with ``_n_words``, ``_n_removed`` and ``_kept`` (kept words, one space between).
 
     ``into`` is what the three new names begin with; a name that ``docs`` has
     already raises, and its other columns may have any name.  ``fold`` is the
-    bytes of windows folded at once (``FOLD``): fewer take less memory and more time.
+    bytes of windows folded at once (``FOLD``), ``chunk`` the bytes of text cut at
+    once: fewer take less memory and more time, and with smaller chunks more travels.
 
     A window is ``size`` consecutive words of one document.  Words covered by a
     window whose words also start earlier (smaller id, or same document and
@@ -307,10 +310,10 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // (64 << 20)))
     buckets = max(8 * parts, -(-expected // BUCKET))
     sources = docs.select(key.alias("doc"), variant.alias("variant"), F.col(text).alias("text"))
-    heavy, alone = heavy_buckets(sources, size, buckets, int(total))
+    heavy, alone = heavy_buckets(sources, size, buckets, int(total), chunk)
     extra = max(1, -(-4 * alone // (3 * BUCKET)))
     parts += -(-alone // (64 << 20))
-    rows = super_k_mers(sources, size, buckets, heavy, extra).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    rows = super_k_mers(sources, size, buckets, heavy, extra, chunk).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = later_spans(rows, size, FOLD if fold is None else fold).groupBy("doc", "variant").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     names = docs.columns
     doc, version, spans, at, which = (fresh_name(docs, c) for c in ("doc", "variant", "spans", "found_doc", "found_variant"))
@@ -319,7 +322,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, doc_id: str = "doc_id", text
     joined = joined.select(*[F.col(f"`{c}`") for c in names], spans)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in buffers.slices(batches, text):
+        for batch in buffers.slices(batches, text, chunk):
             w = buffers.words(batch.column(text))
             column = batch.column(spans)
             flat, owner = column.flatten(), np.repeat(np.arange(batch.num_rows), pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))

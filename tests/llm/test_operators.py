@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -317,6 +318,30 @@ def test_equal_texts_get_equal_rates(spark, docs):
     assert all(rates[i] == rates[i + 100000] for i in rates if i < 100000)
 
 
+def test_texts_are_classified_alike_beside_any_others():
+    texts = pa.array(["a short one", "the same words again and again " * 40, "", "wörter über größe", *(f"text {i} of many words" for i in range(300))])
+    draw = np.random.default_rng(1)
+    model = mixing.Classifier(list("abcde"), draw.normal(size=(1 << mixing.BITS, 5)).astype(np.float32), np.zeros(5, np.float32))
+    alone = np.concatenate([mixing.probabilities(texts.slice(i, 1), model) for i in range(len(texts))])
+    assert np.array_equal(mixing.probabilities(texts, model), alone)
+
+
+def test_training_texts_of_mixing_take_little_memory():
+    """Six megabytes of texts in one batch, as a task of the sample can have them."""
+    texts = [" ".join(f"word{(i * k) % 977}" for k in range(400)) for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["domain", "text"])
+    tracemalloc.start()
+    made = sum(b.num_rows for b in mixing.embedded(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made == len(texts) and peak < 100 << 20
+
+
+def test_chunks_of_texts_change_no_removed_word(docs):
+    whole, cut = (sorted(map(tuple, substrings.remove_repeats(docs, chunk=n).collect()), key=str) for n in (buffers.CHUNK, 3000))
+    assert whole == cut and any(r[-2] for r in whole)
+
+
 def test_the_cache_is_bounded_in_units_and_bytes():
     cache, calls = {}, []
 
