@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType
 
 from ordermill.llm import buffers
+from ordermill.llm.exact_dedup import BLOCK, BLOCKS, is_set
 from ordermill.llm.grams import grams, labelled_sample, one_text
 from ordermill.llm.storage import stored
 
@@ -31,6 +33,9 @@ SIZES, BITS, BLOCKS = (3, 4, 5, 6), 20, 32
 #: Log odds for a margin of one.
 STEEP = 3.0
 
+#: Bits of the labelled ids' bitmaps for each of them, while ``BLOCKS`` allows.
+SPARSE = 16
+
 
 class Model(NamedTuple):
     """The weight (ratio times coefficient) of every n-gram hash, zero if it was not seen, and the intercept."""
@@ -197,6 +202,22 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     return docs.mapInArrow(apply, ", ".join([*kinds, f"`{into}` double"]))
 
 
+def perhaps_labelled(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """``texts`` (``doc_id, text``) without most rows whose id ``known`` has not; every row whose id it has stays.
+
+    Bitmaps of the known ids, bounded in size, are broadcast however many ids
+    there are, so a text without a label mostly ends in the task that reads it.
+    Ids that may be equal without the same bytes all stay.
+    """
+    kinds = {rows.schema["doc_id"].dataType for rows in (texts, known)}
+    if len(kinds) > 1 or not kinds <= {ByteType(), ShortType(), IntegerType(), LongType(), StringType()}:
+        return texts
+    blocks = min(BLOCKS, max(1, -(-SPARSE * known.count() // BLOCK)))
+    block, place = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)), F.xxhash64(F.lit(1), "doc_id").bitwiseAND(F.lit(BLOCK - 1))
+    bitmaps = known.groupBy(block.alias("_block")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    return texts.join(F.broadcast(bitmaps), block == F.col("_block")).filter(is_set("_bits", place)).select("doc_id", "text")
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, per_label: int = 8192, keep: int = 2048, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> Model:
@@ -212,8 +233,6 @@ def fit_toxicity(
     known = known.distinct()
     chosen = labelled_sample(known, "label", "doc_id", per_label)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    # Texts without a label go first: only labelled ones are grouped by id.
-    labelled = texts.join(known.select("doc_id").distinct(), "doc_id", "left_semi")
-    rows = one_text(labelled, "doc_id").join(known, "doc_id").select("text", "label")
+    rows = one_text(perhaps_labelled(texts, known), "doc_id").join(known, "doc_id").select("text", "label")
     sample = one_text(texts.join(F.broadcast(chosen), "doc_id"), "doc_id", "label").select("text", "label")
     return train(rows, stored(sample, "toxic-sample"), keep)

@@ -220,6 +220,25 @@ def test_a_repeated_row_teaches_toxicity_once(spark):
     assert np.array_equal(once.weight, repeated.weight) and once.intercept == repeated.intercept
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_texts_without_a_label_are_left_out_before_a_shuffle(spark, kind):
+    rows = spark.range(20000).selectExpr(f"cast(id as {kind}) as doc_id", "concat('text ', id) as text").unionByName(spark.createDataFrame([(None, "x")], f"doc_id {kind}, text string"))
+    known = rows.filter("doc_id % 8 = 0").selectExpr("doc_id", "1 as label")
+    found = toxicity.perhaps_labelled(rows, known)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert found.join(known, "doc_id").count() == 2500 and found.distinct().count() == found.count() < 5000
+    assert toxicity.perhaps_labelled(rows, known.limit(0)).count() == 0
+
+
+def test_toxicity_learns_by_ids_of_other_types(spark):
+    docs = spark.createDataFrame([(1, "bad words here"), (2, "other bad things"), (3, "nice day today"), (4, "good day all"), (5, "bad"), (None, "bad")], "doc_id long, text string")
+    labels = docs.filter("doc_id < 5").selectExpr("doc_id", "cast(doc_id < 3 as int) as toxic")
+    models = [toxicity.fit_toxicity(docs, labels.withColumn("doc_id", F.col("doc_id").cast(kind))) for kind in ("long", "int", "decimal(20, 0)")]
+    assert models[0].weight.any()
+    assert all(np.array_equal(m.weight, models[0].weight) and m.intercept == models[0].intercept for m in models)
+
+
 def test_a_repeated_row_teaches_languages_and_domains_once(spark, docs):
     rows = docs.filter("text is not null").orderBy("doc_id").limit(12).selectExpr("doc_id", "text", "if(doc_id % 2 = 0, 'en', 'de') as lang").localCheckpoint()
     first = rows.agg(F.min("doc_id")).first()[0]
