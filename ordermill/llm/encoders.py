@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,12 @@ from ordermill.llm import buffers
 OTHER_SPACE = "[\x1c-\x1f\x85\xa0  -     　]"
 
 
+#: Bytes of ASCII letters and digits, and of ASCII punctuation.
+ALPHANUMERIC, PUNCTUATION = np.zeros((2, 256), dtype=bool)
+ALPHANUMERIC[list((string.ascii_letters + string.digits).encode())] = True
+PUNCTUATION[list(string.punctuation.encode())] = True
+
+
 class Encoder:
     """A tokenizer file.  Texts that ``whole`` names must be encoded in one piece."""
 
@@ -23,6 +30,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.widths: np.ndarray | None = None
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -41,6 +49,27 @@ class Encoder:
         ends = np.flatnonzero(ids == split)
         return ids[ids != split], np.diff(ends, prepend=-1) - 1
 
+    def byte_ids(self, units: pa.Array, batch: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
+        """What ``apart`` gives, for a byte-level tokenizer: its ids stand for fixed numbers of bytes, which tell them apart."""
+        if self.widths is None:
+            tokens = self.tokenizer.get_vocab(with_added_tokens=False)
+            added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+            width = {i: len(t) for t, i in tokens.items()} | added
+            self.widths = np.zeros(max(width) + 1, dtype=np.int64)
+            self.widths[list(width)] = list(width.values())
+        out, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(units), batch):
+            some = units.slice(i, batch)
+            ids = np.array(self.tokenizer.encode_batch_fast([some.cast(pa.large_string()).to_pylist()], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.cumsum(self.widths[ids])
+            bounds = np.cumsum(pc.binary_length(some).to_numpy())
+            last = np.searchsorted(ends, bounds)
+            if len(ids) <= last[-1] or (ends[last] != bounds).any():
+                raise ValueError("the ids of this tokenizer do not stand for the bytes of the text")
+            out.append(ids)
+            sizes.append(np.diff(last, prepend=-1))
+        return np.concatenate(out), np.concatenate(sizes)
+
     def whole(self, texts: pa.Array) -> np.ndarray:
         """Which texts hold other white space or a special string, next to which cuts may matter."""
         found = pc.match_substring_regex(texts, OTHER_SPACE)
@@ -79,6 +108,8 @@ def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A word takes one space before it along.  Of a longer run of separators, all
     but the last character are a unit, and the last is one unless it is a space.
+    ASCII punctuation that follows an ASCII letter or digit begins a unit, so a
+    word is the same unit whatever stands behind it.
     """
     data, offsets = buffers.layout(texts)
     gap = buffers.SEPARATOR[data]
@@ -90,7 +121,7 @@ def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         last = gap[:-1] & word
         after = word & gap[:-1] & (data[:-1] != 32)
         start = head.copy()
-        start[1:] |= run | after
+        start[1:] |= run | after | (ALPHANUMERIC[data[:-1]] & PUNCTUATION[data[1:]])
         start[:-1] |= last
     else:
         start = head

@@ -11,19 +11,19 @@ running sum over tasks makes global.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import buffers
-from ordermill.llm.encoders import byte_units, load, unit_ids
+from ordermill.llm.encoders import byte_units, load
 from ordermill.llm.storage import stored
-from ordermill.llm.token_counts import through_cache
 
 
 class Pattern(NamedTuple):
@@ -134,10 +134,7 @@ def cut_documents(
 def encoded(texts: pa.Array, encoder, cache: dict, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, each closed by ``end_id``, and where each text's begin."""
     data, start, first = byte_units(texts)
-    code, distinct = buffers.numbered(buffers.binaries(data, np.concatenate((start, [len(data)]))))
-    known = through_cache(cache, distinct.to_pylist(), lambda some: unit_ids(encoder, some))
-    size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
-    pool = np.frombuffer(b"".join(known), dtype="<u4")
+    code, size, pool = through_table(cache, buffers.binaries(data, np.concatenate((start, [len(data)]))), encoder.byte_ids)
     at = np.cumsum(size) - size
     sums = np.concatenate(([0], np.cumsum(size[code])))
     n = sums[first[1:]] - sums[first[:-1]]
@@ -151,6 +148,37 @@ def encoded(texts: pa.Array, encoder, cache: dict, end_id: int) -> tuple[np.ndar
     return np.insert(body, np.cumsum(n), np.uint32(end_id)), np.concatenate(([0], np.cumsum(n + 1)))
 
 
+def through_table(
+    cache: dict, units: pa.Array, encode: Callable, most: int = 350_000, size: int = 32 << 20
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each unit, how many ids the unit of each number has, and the ids of all numbers in turn.
+
+    ``encode`` is asked for units that ``cache`` lacks, each once.  The cache is a
+    table of arrays: its units are numbered first, then the new ones, in a single
+    pass.  Beyond ``most`` units or ``size`` bytes, units and ids, it keeps half
+    of that: the units met in the most calls, of equals the newest, and none of more
+    than a hundredth of ``size``.  Nothing but time depends on what it holds.
+    """
+    held = cache.get("units", pa.array([], pa.large_binary()))
+    code, known = buffers.numbered(pa.concat_arrays([held, units]))
+    code = code[len(held) :]
+    ids, n = encode(known.slice(len(held)))
+    if len(held):
+        ids, n = np.concatenate((cache["ids"], ids)), np.concatenate((cache["n"], n))
+    met = np.zeros(len(known), dtype=np.int64)
+    met[code] = 1
+    met[: len(held)] += cache.get("met", 0)
+    cache.update(units=known, ids=ids, n=n, met=met)
+    weight = pc.binary_length(known).to_numpy() + ids.itemsize * n
+    if len(known) > most or weight.sum() > size:
+        order = np.lexsort((-np.arange(len(known)), -met))
+        order = order[weight[order] <= size // 100][: most // 2]
+        keep = np.sort(order[np.cumsum(weight[order]) <= size // 2])
+        at = np.cumsum(n) - n
+        cache.update(units=known.take(pa.array(keep)), ids=ids[buffers.ragged(at[keep], n[keep])], n=n[keep], met=met[keep] // 2)
+    return code, n, ids
+
+
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add ``sequence_id, offset`` to rows with ``task, length, rank``, which it drops."""
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))

@@ -15,7 +15,7 @@ from llm.conftest import EDGES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import buffers, grams, language, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk, toxicity
+from ordermill.llm import buffers, encoders, grams, language, lattice, mixing, near_dedup, packing, quality_rules, queries, substrings, token_counts, topk, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -389,6 +389,49 @@ def test_the_cache_is_bounded_in_units_and_bytes():
     assert len(calls) >= 50 * 21
 
 
+def test_a_word_is_encoded_once_whatever_follows_it():
+    encoder = encoders.load(public_tokenizers.path("byte_bpe_50k.json"))
+    ends = ["", ".", ",", "'s", "!?", ")", "-x", ".'s", ".5"]
+    odd = ["x it's it’s", "a<|endoftext|>. b", "3.5% a.b-c", "é, ü.", "end\u00a0. of", "a \n. \tb,\r\n 'll'LL", "", None, "a"]
+    texts, asked, cache = odd + [f"The word{e} of 12{e}" for e in ends], [], {}
+
+    def encode(units):
+        asked.extend(units.to_pylist())
+        return encoder.byte_ids(units)
+
+    for _ in range(2):
+        data, start, _ = encoders.byte_units(pa.array(texts))
+        packing.through_table(cache, buffers.binaries(data, np.append(start, len(data))), encode)
+    assert len(asked) == len(set(asked)) and [u for u in asked if b"word" in u] == [b" word"]
+    ids, at = packing.encoded(pa.array(texts), encoder, cache, 2)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [[*encoder.ids(t or ""), 2] for t in texts]
+
+
+def test_the_table_of_units_is_bounded_and_changes_no_ids():
+    cache, asked = {}, []
+
+    def encode(units):
+        asked.append(len(units))
+        n = np.array([len(u) for u in units.to_pylist()], dtype=np.int64)
+        return np.repeat(n, n).astype(np.uint32), n
+
+    for i in range(50):
+        units = [b"often", *(b"%d-%d" % (i, k) for k in range(20)), b"x" * 2000, b"often"]
+        code, n, ids = packing.through_table(cache, pa.array(units, pa.large_binary()), encode, most=100, size=30_000)
+        assert n[code].tolist() == [len(u) for u in units]
+        ends = np.cumsum(n)
+        assert all((ids[ends[c] - n[c] : ends[c]] == len(u)).all() for c, u in zip(code, units))
+        weight = sum(map(len, cache["units"].to_pylist())) + 4 * len(cache["ids"])
+        assert len(cache["units"]) <= 100 and weight <= 30_000 and cache["n"].sum() == len(cache["ids"])
+    assert b"often" in cache["units"].to_pylist() and asked[1] == 20
+
+
+def test_ids_that_do_not_stand_for_bytes_are_refused():
+    encoder = encoders.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="do not stand for the bytes"):
+        encoder.byte_ids(pa.array([b" a", b" b"], pa.large_binary()))
+
+
 def test_pipeline_stages_return_documents(spark, small):
     import corpus_pipeline
 
