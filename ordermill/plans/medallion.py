@@ -7,12 +7,12 @@ twice and lost executors recompute one layer at most.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from ordermill.operators import marts, quality
 from ordermill.operators.clean import CLEANERS
@@ -21,16 +21,48 @@ from ordermill.operators.quarantine import flag_orders, quarantined_rows, valid_
 from ordermill.plans.validation import gold_expectations, raise_on_failure, validate_gold
 from ordermill.sources.ingest import bronze_ingest
 from ordermill.sources.marks import mark_history, read_mark, write_mark
-from ordermill.sources.tables import remove_path, write_table, write_tables
+from ordermill.sources.tables import COMPACT, in_slice, remove_path, shuffles_dropped, write_in_turn, write_table, write_tables
 
 
 def build_silver(bronze: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return write_tables({t: clean(bronze[t]) for t, clean in CLEANERS.items()}, root)
 
 
+# The planned bytes of items that a slice is worth, and the most slices.
+SLICE_BYTES = 16 << 20
+MOST_SLICES = 6
+
+
+def slices_for(items: DataFrame) -> int:
+    """Into how many slices of the orders the layers are cut: one for small inputs, as each slice is a job and reads its sources anew."""
+    planned = int(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, min(MOST_SLICES, planned // SLICE_BYTES))
+
+
+def cut(df: DataFrame, key: str, i: int, slices: int) -> DataFrame:
+    """The rows of a slice of the keys; of lines stored by slices of the orders, just their folder."""
+    if slices == 1:
+        return df
+    folder = _folder(slices)
+    return df.filter(F.col(folder) == i if key == "order_id" and folder in df.columns else in_slice(key, i, slices))
+
+
+def _folder(slices: int) -> str:
+    return f"slice_of_{slices}"
+
+
 def build_lines(silver: Mapping[str, DataFrame], root: str) -> DataFrame:
     """The items by order, product and seller, stored: the one shuffle of all items, from which all marts roll up."""
-    return write_table(marts.item_lines(silver["order_items"]), f"{root}/order_lines")
+    items, path = silver["order_items"], f"{root}/order_lines"
+    slices = slices_for(items)
+    if slices == 1:
+        return write_in_turn([marts.item_lines(items)], path)
+    remove_path(items.sparkSession, path)
+    for i in range(slices):
+        lines = marts.item_lines(cut(items, "order_id", i, slices))
+        write_in_turn([lines], f"{path}/{_folder(slices)}={i}")
+    schema = StructType(list(lines.schema.fields)).add(_folder(slices), IntegerType())
+    return items.sparkSession.read.schema(schema).parquet(path)
 
 
 def gold_plans(silver: Mapping[str, DataFrame], lines: DataFrame) -> dict[str, DataFrame]:
@@ -48,10 +80,59 @@ def gold_plans(silver: Mapping[str, DataFrame], lines: DataFrame) -> dict[str, D
 
 
 def build_gold(silver: Mapping[str, DataFrame], root: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The eight marts; customers read the stored order mart."""
+    """The eight marts; customers read the stored order mart.
+
+    Those of a small input are written side by side.  Larger ones follow one
+    another, each slice by slice, as all shuffles together are many times the input.
+    """
     lines = build_lines(silver, root) if lines is None else lines
-    gold = write_tables(gold_plans(silver, lines), root)
-    return gold | write_tables({"customers": marts.gold_customers(silver["customers"], gold["orders"])}, root)
+    slices = slices_for(silver["order_items"])
+    if slices == 1:
+        with shuffles_dropped(lines.sparkSession):
+            gold = write_tables(gold_plans(silver, lines), root, COMPACT)
+    else:
+        gold = {name: write_in_turn(parts, f"{root}/{name}") for name, parts in sliced_plans(silver, lines, root, slices).items()}
+        for build in CATEGORY_SUMS:
+            remove_path(lines.sparkSession, f"{root}/{build.__name__}")
+    n, tables = _fewer(slices), (silver["customers"], gold["orders"])
+    parts = [marts.gold_customers(*(cut(t, "customer_id", i, n) for t in tables)) for i in range(n)]
+    return gold | {"customers": write_in_turn(parts, f"{root}/customers")}
+
+
+def _fewer(slices: int) -> int:
+    """Slices of other keys than the order's, for which each slice reads all lines."""
+    return (slices + 1) // 2
+
+
+# The sums of the category mart, which are stored while it is built, with the key of which disjoint sets add up.
+CATEGORY_SUMS = {marts.category_sales: "order_id", marts.category_products: "product_id"}
+
+
+def sliced_plans(silver: Mapping[str, DataFrame], lines: DataFrame, root: str, slices: int) -> dict[str, Iterable[DataFrame]]:
+    """``gold_plans`` in parts, one for each slice of the key by which a mart joins and groups.
+
+    Categories are too few to slice: their sums are stored here, slice by slice
+    of what they add up over, and the mart totals them.
+    """
+    s, fewer = silver, _fewer(slices)
+    counts = {"order_id": slices, "product_id": fewer}
+
+    def parts(build: Callable[..., DataFrame], key: str, n: int, *tables: DataFrame) -> list[DataFrame]:
+        return [build(*(cut(t, key, i, n) for t in tables)) for i in range(n)]
+
+    def sums(build: Callable[..., DataFrame], key: str) -> DataFrame:
+        found = (build(cut(lines, key, i, counts[key]), s["products"]) for i in range(counts[key]))
+        return write_in_turn(found, f"{root}/{build.__name__}")
+
+    return {
+        "products": parts(marts.gold_products, "product_id", fewer, s["products"], lines),
+        "sellers": parts(marts.gold_sellers, "seller_id", fewer, s["sellers"], lines),
+        "category": [marts.category_totals(*(sums(b, key) for b, key in CATEGORY_SUMS.items()), s["category_translation"])],
+        "orders": parts(marts.gold_orders, "order_id", slices, s["orders"], lines, s["order_payments"]),
+        "payments": parts(marts.gold_payments, "order_id", slices, s["order_payments"]),
+        "reviews": [marts.gold_reviews(s["order_reviews"])],
+        "geolocation": [marts.gold_geolocation(s["geolocation"])],
+    }
 
 
 def layer_row_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:

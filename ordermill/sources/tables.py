@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -16,6 +17,11 @@ from ordermill.sources.quoted import quoted_records
 
 CORRUPT = "_corrupt_record"
 
+# Fixed value: the codec of stored layers; a fifth smaller than the default one on the test tables.
+COMPACT = "zstd"
+
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_scratch: str | None = None
 _scratch: list[str] = []
 
@@ -123,7 +129,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**options).csv(path)
 
 
-def write_table(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None, compression: str | None = None
+) -> DataFrame:
     """Overwrite a Parquet table and return it read back.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced, so
@@ -134,23 +142,55 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     if files is not None:
         df = df.repartition(files)
     writer = df.write.mode("overwrite")
+    if compression is not None:
+        writer = writer.option("compression", compression)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_tables(tables: Mapping[str, DataFrame], root: str, compression: str | None = None) -> dict[str, DataFrame]:
     """Write independent tables side by side, so one's last tasks do not idle the cluster."""
     if not tables:
         return {}
     session = next(iter(tables.values())).sparkSession
     write = inheritable_thread_target(session)(write_table)
     with ThreadPoolExecutor(max_workers=8) as pool:
-        jobs = {name: pool.submit(write, df, f"{root}/{name}") for name, df in tables.items()}
+        jobs = {name: pool.submit(write, df, f"{root}/{name}", compression=compression) for name, df in tables.items()}
         return {name: job.result() for name, job in jobs.items()}
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What a query in here has shuffled leaves the disks when it ends, not when the driver next collects its garbage."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
+def in_slice(key: str, i: int, slices: int) -> Column:
+    """Whether a row's key falls in slice ``i``; another hash than that of shuffles, so that a slice fills all their partitions."""
+    return F.pmod(F.xxhash64(key), F.lit(slices)) == i
+
+
+def write_in_turn(parts: Iterable[DataFrame], path: str) -> DataFrame:
+    """Overwrite a Parquet table by the rows of all parts, a job for each, and return it read back.
+
+    Only what one part shuffles is on the disks at a time.
+    """
+    for i, part in enumerate(parts):
+        with shuffles_dropped(part.sparkSession):
+            part.write.mode("append" if i else "overwrite").option("compression", COMPACT).parquet(path)
+    return part.sparkSession.read.schema(part.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write once to shared scratch space and continue from the files."""
     return write_table(df, scratch_path(df.sparkSession, label))
