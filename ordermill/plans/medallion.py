@@ -25,7 +25,7 @@ from ordermill.sources.tables import COMPACT, in_slice, remove_path, shuffles_dr
 
 
 def build_silver(bronze: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    return write_tables({t: clean(bronze[t]) for t, clean in CLEANERS.items()}, root)
+    return write_tables({t: clean(bronze[t]) for t, clean in CLEANERS.items()}, root, COMPACT)
 
 
 # The planned bytes of items that a slice is worth, and the most slices.

@@ -5,7 +5,7 @@ import time
 import pytest
 from conftest import plan, rows
 
-from ordermill.plans import medallion
+from ordermill.plans import catalog, medallion
 from ordermill.sources import tables as io
 
 SLICES = 3
@@ -113,3 +113,21 @@ def test_what_a_layer_has_shuffled_leaves_the_disks(spark, silver, tmp_path, mon
 def test_small_inputs_are_not_cut(spark, tables):
     assert medallion.slices_for(tables.silver("order_items")) == 1
     assert medallion.slices_for(spark.range(1 << 30)) == medallion.MOST_SLICES
+
+
+def test_layers_are_stored_compactly(spark, small, monkeypatch):
+    """Counts over sliced layers equal those over whole ones; every file of the layers has the smaller codec."""
+    roots = []
+
+    def scratch(session, label):
+        roots.append(io.scratch_path(session, label))
+        return roots[-1]
+
+    monkeypatch.setattr(catalog, "scratch_path", scratch)
+    whole = sorted(rows(catalog.registered()["layer_row_counts"](spark, small)))
+    monkeypatch.setattr(medallion, "slices_for", lambda items: SLICES)
+    assert sorted(rows(catalog.registered()["layer_row_counts"](spark, small))) == whole
+    assert len(roots) == 4
+    for root in roots:
+        files = [f for f in spark.read.option("recursiveFileLookup", True).format("binaryFile").load(root).inputFiles() if f.endswith(".parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
